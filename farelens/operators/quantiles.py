@@ -1,0 +1,103 @@
+"""Exact quantiles without gathering a column into one task.
+
+Spark's exact ``percentile`` keeps every distinct value of a group in one
+aggregation buffer, and a global quantile has a single group, so at scale
+that buffer is unbounded. Here each target rank is found by bucket
+refinement: one distributed pass counts values per bucket of the current
+interval (at most ``buckets`` rows come back), the bucket holding the rank
+becomes the next interval, and once a bucket holds at most ``small`` values
+(or a single distinct value) those values are fetched and the rank picked.
+Every round trip to the driver is bounded by ``buckets`` or ``small``.
+Interpolation between neighbouring ranks is linear, as ``percentile`` and
+pandas ``describe`` do.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def _clean_values(df: DataFrame, col: str) -> DataFrame:
+    v = F.col(col).cast("double")
+    return df.select(v.alias("v")).filter(v.isNotNull() & ~F.isnan(v))
+
+
+def _select_ranks(vals: DataFrame, ranks: list[int], lo: float, hi: float,
+                  buckets: int, small: int) -> dict[int, float]:
+    # state per rank: (interval lo, interval hi, values below lo)
+    state = {r: (lo, hi, 0) for r in ranks}
+    found: dict[int, float] = {}
+    while len(found) < len(ranks):
+        open_ranks = [r for r in ranks if r not in found]
+        intervals = sorted({state[r][:2] for r in open_ranks})
+        # Intervals are disjoint or equal (they are nested buckets), so a
+        # value falls in at most one of them.
+        iid = F.lit(None).cast("int")
+        for i, (a, b) in reversed(list(enumerate(intervals))):
+            iid = F.when(F.col("v").between(a, b), F.lit(i)).otherwise(iid)
+        bucket_expr = None
+        for i, (a, b) in enumerate(intervals):
+            width = b - a
+            e = (F.lit(0) if width == 0 else
+                 F.least(F.lit(buckets - 1),
+                         F.floor((F.col("v") - F.lit(a)) / F.lit(width) * buckets).cast("int")))
+            bucket_expr = (F.when(F.col("iid") == i, e) if bucket_expr is None
+                           else bucket_expr.when(F.col("iid") == i, e))
+        hist = (vals.withColumn("iid", iid).filter(F.col("iid").isNotNull())
+                    .withColumn("b", bucket_expr)
+                    .groupBy("iid", "b")
+                    .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+                    .collect())
+        by_interval: dict[int, list] = {}
+        for row in hist:
+            by_interval.setdefault(row["iid"], []).append(row)
+        fetch: dict[tuple[float, float], list[int]] = {}
+        for r in open_ranks:
+            a, b, base = state[r]
+            rows = sorted(by_interval[intervals.index((a, b))], key=lambda x: x["b"])
+            local = r - base
+            for row in rows:
+                if local < row["c"]:
+                    if row["mn"] == row["mx"]:
+                        found[r] = row["mn"]
+                    elif row["c"] <= small:
+                        fetch.setdefault((row["mn"], row["mx"]), []).append(r)
+                        state[r] = (row["mn"], row["mx"], r - local)
+                    else:
+                        state[r] = (row["mn"], row["mx"], r - local)
+                    break
+                local -= row["c"]
+        for (a, b), rs in fetch.items():
+            values = sorted(x["v"] for x in vals.filter(F.col("v").between(a, b)).collect())
+            for r in rs:
+                found[r] = values[r - state[r][2]]
+    return found
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float],
+                    buckets: int = 4096, small: int = 50_000) -> tuple[int, dict[float, float | None]]:
+    """Return (count of non-NULL non-NaN values, {p: quantile})."""
+    vals = _clean_values(df, col)
+    stats = vals.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
+                     F.max("v").alias("hi")).first()
+    n = stats["n"]
+    if n == 0:
+        return 0, {p: None for p in probs}
+    need = set()
+    plan = {}
+    for p in probs:
+        pos = p * (n - 1)
+        k = math.floor(pos)
+        frac = pos - k
+        k1 = min(k + 1, n - 1)
+        plan[p] = (k, k1, frac)
+        need.update({k, k1})
+    picked = _select_ranks(vals, sorted(need), stats["lo"], stats["hi"], buckets, small)
+    out = {}
+    for p, (k, k1, frac) in plan.items():
+        lo_v, hi_v = picked[k], picked[k1]
+        out[p] = lo_v + (hi_v - lo_v) * frac
+    return n, out
