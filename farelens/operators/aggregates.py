@@ -25,6 +25,18 @@ def _no_nan(c: str) -> Column:
     return F.when(~F.isnan(F.col(c)), F.col(c))
 
 
+def finite_values(df: DataFrame, col: str, *keep: str) -> DataFrame:
+    """``col`` as double with NaN turned into NULL, so aggregates skip it.
+
+    A projection rather than a filter: a filter on a computed column is
+    pushed below the projection that computes it and re-inlines the whole
+    expression (no common-subexpression elimination there); aggregates skip
+    NULL on their own and NULL bins fall out of the zero-fill join.
+    """
+    x = F.col(col).cast("double")
+    return df.select(*keep, F.when(~F.isnan(x), x).alias("v"))
+
+
 def avg_fare_by(df: DataFrame, dim: str) -> DataFrame:
     """A1-A4: average fare per calendar bucket (expects P1 columns)."""
     return df.groupBy(dim).agg(F.avg("fare_amount").alias("avg_fare"))
@@ -61,10 +73,11 @@ def density_grid(df: DataFrame, bb=NYC_BB, n_lon: int = GRID_N_LON, n_lat: int =
                  F.col(f"{side}_longitude").alias("lon"),
                  F.col(f"{side}_latitude").alias("lat"))
         for side in ("pickup", "dropoff")]))
+    # NULL coordinates are outside the grid: index 0, so keys are never NULL
     pts = df.select(ends.alias("p")).select(
         "p.side",
-        digitize("p.lon", g["lon0"], g["dlon"], n_lon).alias("ix"),
-        digitize("p.lat", g["lat0"], g["dlat"], n_lat).alias("iy"))
+        F.coalesce(digitize("p.lon", g["lon0"], g["dlon"], n_lon), F.lit(0)).alias("ix"),
+        F.coalesce(digitize("p.lat", g["lat0"], g["dlat"], n_lat), F.lit(0)).alias("iy"))
     counts = (pts.filter(F.col("ix").between(1, n_lon) & F.col("iy").between(1, n_lat))
                  .groupBy("side", "ix", "iy").agg(F.count(F.lit(1)).alias("cnt")))
     density = F.col("cnt") / F.lit(g["cell_area_km2"])
@@ -80,19 +93,35 @@ def density_grid(df: DataFrame, bb=NYC_BB, n_lon: int = GRID_N_LON, n_lat: int =
         F.lit(g["cell_area_km2"]).alias("cell_area_km2"))
 
 
-def _bin_of(v: Column, lo: Column, hi: Column, step: Column, bins: int) -> Column:
-    """Equal-width bin, edges ``k*step + lo``, last edge ``hi``, last bin
-    closed. The estimate from one division is moved by at most one so that
-    ``edge(bin) <= v < edge(bin + 1)`` holds for the edges themselves."""
+def _bin_estimate(v: Column, lo: Column, hi: Column, bins: int) -> Column:
+    est = F.floor((v - lo) / (hi - lo) * F.lit(bins)).cast("int")
+    return F.when(est >= bins, F.lit(bins - 1)).when(est < 0, F.lit(0)).otherwise(est)
+
+
+def _bin_fix(v: Column, est: Column, lo: Column, hi: Column, step: Column, bins: int) -> Column:
+    """Move the estimate by at most one so that ``edge(bin) <= v < edge(bin + 1)``
+    holds for the edges ``k*step + lo`` (last edge ``hi``, last bin closed)."""
     def edge(k: Column) -> Column:
         return F.when(k >= bins, hi).otherwise(k.cast("double") * step + lo)
-    est = F.floor((v - lo) / (hi - lo) * F.lit(bins)).cast("int")
-    est = F.when(est >= bins, F.lit(bins - 1)).when(est < 0, F.lit(0)).otherwise(est)
     down = F.when(v < edge(est), F.lit(1)).otherwise(F.lit(0))
     up = F.when((est <= bins - 2) & (v >= edge(est + 1)), F.lit(1)).otherwise(F.lit(0))
     return est - down + up
 
 
+def _binned(vals: DataFrame, lo: Column, hi: Column, step: Column, bins: int, *keep: str) -> DataFrame:
+    """Bin per value; NULL values get bin -1, which the zero-fill join drops.
+
+    Two projections so the estimate is computed once. The bin is never NULL:
+    a nullable join key would make the optimizer infer ``isnotnull(bin)`` and
+    push it under the aggregate, re-inlining the whole value expression into
+    the scan filter.
+    """
+    v = F.col("v")
+    return (vals.withColumn("_est", _bin_estimate(v, lo, hi, bins))
+                .select(*keep, F.coalesce(_bin_fix(v, F.col("_est"), lo, hi, step, bins),
+                                          F.lit(-1)).alias("bin")))
+
+
 def _bounds(mn: Column, mx: Column, bins: int) -> Column:
     lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
     hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
@@ -113,13 +142,11 @@ def distance_histogram(df: DataFrame, col: str = "distance_km", bins: int = HIST
     widens by 0.5 each way; empty input gives zero rows. Output
     (bin, bin_lo, bin_hi, cnt), zero-filled.
     """
-    vals = df.select(F.col(col).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v"))
+    vals = finite_values(df, col)
     bounds = vals.agg(F.min("v").alias("mn"), F.max("v").alias("mx")).select(
         _bounds(F.col("mn"), F.col("mx"), bins).alias("b")).scalar()
     lo, hi, step = F.col("b.lo"), F.col("b.hi"), F.col("b.step")
-    counts = (vals.withColumn("b", bounds)
-                  .select(_bin_of(F.col("v"), lo, hi, step, bins).alias("bin"))
+    counts = (_binned(vals.withColumn("b", bounds), lo, hi, step, bins)
                   .groupBy("bin").agg(F.count(F.lit(1)).alias("cnt")))
     frame = (df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
                .withColumn("b", bounds).filter(F.col("b.lo").isNotNull()))
@@ -135,13 +162,12 @@ def grouped_histogram(df: DataFrame, group: str, col: str = "distance_km", bins:
     Per-group bounds are an aggregate with one row per group; it is joined
     back on the group key (AQE broadcasts it when its measured size is small).
     """
-    vals = df.select(F.col(group).alias("g"), F.col(col).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v"))
+    vals = finite_values(df.withColumn("g", F.col(group)), col, "g")
     bounds = (vals.groupBy("g").agg(F.min("v").alias("mn"), F.max("v").alias("mx"))
+                  .filter(F.col("mn").isNotNull())
                   .select("g", _bounds(F.col("mn"), F.col("mx"), bins).alias("b"))
                   .select("g", "b.lo", "b.hi", "b.step"))
-    counts = (vals.join(bounds, "g")
-                  .select("g", _bin_of(F.col("v"), F.col("lo"), F.col("hi"), F.col("step"), bins).alias("bin"))
+    counts = (_binned(vals.join(bounds, "g"), F.col("lo"), F.col("hi"), F.col("step"), bins, "g")
                   .groupBy("g", "bin").agg(F.count(F.lit(1)).alias("cnt")))
     frame = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     edge_lo, edge_hi = _edges(bins, F.col("lo"), F.col("hi"), F.col("step"))
@@ -179,10 +205,9 @@ def describe_distance(df: DataFrame, col: str = "distance_km", approx: bool = Fa
     by distributed bucket refinement (bounded driver traffic); ``approx``
     switches to ``percentile_approx`` (one pass, a bounded sketch).
     """
-    vals = df.select(F.col(col).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v"))
+    vals = finite_values(df, col)
     probs = [0.25, 0.5, 0.75]
-    aggs = [F.count(F.lit(1)).alias("count"), F.avg("v").alias("mean"),
+    aggs = [F.count("v").alias("count"), F.avg("v").alias("mean"),
             F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")]
     if approx:
         aggs.append(F.percentile_approx("v", probs, accuracy).alias("q"))

@@ -16,64 +16,78 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def _clean_values(df: DataFrame, col: str) -> DataFrame:
+    # NaN -> NULL in a projection; no filter on the (possibly computed) value
     v = F.col(col).cast("double")
-    return df.select(v.alias("v")).filter(v.isNotNull() & ~F.isnan(v))
+    return df.select(F.when(~F.isnan(v), v).alias("v"))
+
+
+def _interval_id(intervals: list[tuple[float, float]]) -> Column:
+    # Intervals are disjoint or equal (nested buckets): at most one matches.
+    iid = F.lit(None).cast("int")
+    for i, (a, b) in reversed(list(enumerate(intervals))):
+        iid = F.when(F.col("v").between(a, b), F.lit(i)).otherwise(iid)
+    return iid
+
+
+def _bucket(intervals: list[tuple[float, float]], buckets: int) -> Column:
+    out = None
+    for i, (a, b) in enumerate(intervals):
+        width = b - a
+        e = (F.lit(0) if width == 0 else
+             F.least(F.lit(buckets - 1), F.floor((F.col("v") - F.lit(a)) / F.lit(width) * buckets).cast("int")))
+        out = F.when(F.col("iid") == i, e) if out is None else out.when(F.col("iid") == i, e)
+    return out
 
 
 def _select_ranks(vals: DataFrame, ranks: list[int], lo: float, hi: float,
                   buckets: int, small: int) -> dict[int, float]:
-    # state per rank: (interval lo, interval hi, values below lo)
+    # state per rank: (interval lo, interval hi, number of values below lo)
     state = {r: (lo, hi, 0) for r in ranks}
     found: dict[int, float] = {}
     while len(found) < len(ranks):
         open_ranks = [r for r in ranks if r not in found]
         intervals = sorted({state[r][:2] for r in open_ranks})
-        # Intervals are disjoint or equal (they are nested buckets), so a
-        # value falls in at most one of them.
-        iid = F.lit(None).cast("int")
-        for i, (a, b) in reversed(list(enumerate(intervals))):
-            iid = F.when(F.col("v").between(a, b), F.lit(i)).otherwise(iid)
-        bucket_expr = None
-        for i, (a, b) in enumerate(intervals):
-            width = b - a
-            e = (F.lit(0) if width == 0 else
-                 F.least(F.lit(buckets - 1),
-                         F.floor((F.col("v") - F.lit(a)) / F.lit(width) * buckets).cast("int")))
-            bucket_expr = (F.when(F.col("iid") == i, e) if bucket_expr is None
-                           else bucket_expr.when(F.col("iid") == i, e))
-        hist = (vals.withColumn("iid", iid).filter(F.col("iid").isNotNull())
-                    .withColumn("b", bucket_expr)
+        # one pass: per (interval, bucket) count/min/max; values outside every
+        # interval form a single NULL group that is ignored
+        hist = (vals.withColumn("iid", _interval_id(intervals))
+                    .withColumn("b", _bucket(intervals, buckets))
                     .groupBy("iid", "b")
-                    .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+                    .agg(F.count("v").alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
                     .collect())
         by_interval: dict[int, list] = {}
         for row in hist:
-            by_interval.setdefault(row["iid"], []).append(row)
+            if row["iid"] is not None:
+                by_interval.setdefault(row["iid"], []).append(row)
         fetch: dict[tuple[float, float], list[int]] = {}
         for r in open_ranks:
             a, b, base = state[r]
-            rows = sorted(by_interval[intervals.index((a, b))], key=lambda x: x["b"])
             local = r - base
-            for row in rows:
+            for row in sorted(by_interval[intervals.index((a, b))], key=lambda x: x["b"]):
                 if local < row["c"]:
+                    state[r] = (row["mn"], row["mx"], r - local)
                     if row["mn"] == row["mx"]:
                         found[r] = row["mn"]
                     elif row["c"] <= small:
                         fetch.setdefault((row["mn"], row["mx"]), []).append(r)
-                        state[r] = (row["mn"], row["mx"], r - local)
-                    else:
-                        state[r] = (row["mn"], row["mx"], r - local)
                     break
                 local -= row["c"]
         for (a, b), rs in fetch.items():
-            values = sorted(x["v"] for x in vals.filter(F.col("v").between(a, b)).collect())
+            # distinct values with multiplicities inside one small bucket
+            inside = F.when(F.col("v").between(a, b), F.col("v"))
+            pairs = sorted((x["x"], x["n"]) for x in vals.groupBy(inside.alias("x"))
+                           .agg(F.count(F.lit(1)).alias("n")).collect() if x["x"] is not None)
             for r in rs:
-                found[r] = values[r - state[r][2]]
+                local = r - state[r][2]
+                for value, n in pairs:
+                    if local < n:
+                        found[r] = value
+                        break
+                    local -= n
     return found
 
 
@@ -81,7 +95,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
                     buckets: int = 4096, small: int = 50_000) -> tuple[int, dict[float, float | None]]:
     """Return (count of non-NULL non-NaN values, {p: quantile})."""
     vals = _clean_values(df, col)
-    stats = vals.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
+    stats = vals.agg(F.count("v").alias("n"), F.min("v").alias("lo"),
                      F.max("v").alias("hi")).first()
     n = stats["n"]
     if n == 0:

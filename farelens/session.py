@@ -20,6 +20,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.driver.memory": "16g",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
