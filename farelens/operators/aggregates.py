@@ -78,8 +78,13 @@ def density_grid(df: DataFrame, bb=NYC_BB, n_lon: int = GRID_N_LON, n_lat: int =
         "p.side",
         F.coalesce(digitize("p.lon", g["lon0"], g["dlon"], n_lon), F.lit(0)).alias("ix"),
         F.coalesce(digitize("p.lat", g["lat0"], g["dlat"], n_lat), F.lit(0)).alias("iy"))
-    counts = (pts.filter(F.col("ix").between(1, n_lon) & F.col("iy").between(1, n_lat))
-                 .groupBy("side", "ix", "iy").agg(F.count(F.lit(1)).alias("cnt")))
+    # The in-grid test is counted inside the aggregate instead of filtered
+    # before it: a filter on the computed indices would be pushed below the
+    # projection and re-evaluate them. Out-of-grid keys are a bounded ring
+    # (index 0 or n+1) whose counts are 0 and are dropped afterwards.
+    inside = F.col("ix").between(1, n_lon) & F.col("iy").between(1, n_lat)
+    counts = (pts.groupBy("side", "ix", "iy").agg(F.count_if(inside).alias("cnt"))
+                 .filter(F.col("cnt") > 0))
     density = F.col("cnt") / F.lit(g["cell_area_km2"])
     return counts.select(
         "side",

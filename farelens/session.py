@@ -21,6 +21,10 @@ SESSION_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.driver.memory": "16g",
     "spark.ui.showConsoleProgress": "false",
+    # Generated code for wide row expressions can exceed HotSpot's 8 KB
+    # JIT limit and would then run in the bytecode interpreter.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
