@@ -202,31 +202,36 @@ def usd_per_km(df: DataFrame) -> DataFrame:
         _usd_per_km(F.col("sum_fare"), F.col("sum_distance_km")).alias("usd_per_km"))
 
 
+STATS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
+
+
 def describe_distance(df: DataFrame, col: str = "distance_km", approx: bool = False,
                       accuracy: int = 10_000) -> DataFrame:
     """A10: count, mean, std, min, 25%, 50%, 75%, max in long form.
 
-    Moments come from one aggregate. Quartiles are exact by default, found
-    by distributed bucket refinement (bounded driver traffic); ``approx``
-    switches to ``percentile_approx`` (one pass, a bounded sketch).
+    Exact (default): one pass for the moments, then the quartiles by
+    distributed bucket refinement, which reuses count/min/max; only bounded
+    summaries reach the driver. ``approx`` computes everything in a single
+    lazy pass with ``percentile_approx`` (a bounded sketch).
     """
     vals = finite_values(df, col)
     probs = [0.25, 0.5, 0.75]
-    aggs = [F.count("v").alias("count"), F.avg("v").alias("mean"),
-            F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")]
+    moments = [F.count("v").cast("double").alias("count"), F.avg("v").alias("mean"),
+               F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")]
     if approx:
-        aggs.append(F.percentile_approx("v", probs, accuracy).alias("q"))
-        quart = [F.col("q")[i] for i in range(len(probs))]
-    else:
-        _, qs = exact_quantiles(vals, "v", probs)
-        quart = [F.lit(qs[p]).cast("double") for p in probs]
-    row = vals.agg(*aggs)
-    stats = [("count", F.col("count").cast("double")), ("mean", F.col("mean")), ("std", F.col("std")),
-             ("min", F.col("min")), ("25%", quart[0]), ("50%", quart[1]),
-             ("75%", quart[2]), ("max", F.col("max"))]
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("ord"), F.lit(name).alias("stat"), val.alias("value"))
-        for i, (name, val) in enumerate(stats)])))
+        row = vals.agg(*moments, F.percentile_approx("v", probs, accuracy).alias("q"))
+        cols = {"25%": F.col("q")[0], "50%": F.col("q")[1], "75%": F.col("q")[2]}
+        cols.update({k: F.col(k) for k in ("count", "mean", "std", "min", "max")})
+        return row.select(F.inline(F.array(*[
+            F.struct(F.lit(i).alias("ord"), F.lit(name).alias("stat"), cols[name].alias("value"))
+            for i, name in enumerate(STATS)])))
+    m = vals.agg(*moments).first()
+    _, qs = exact_quantiles(vals, "v", probs, stats=(int(m["count"]), m["min"], m["max"]))
+    values = {"count": m["count"], "mean": m["mean"], "std": m["std"], "min": m["min"], "max": m["max"],
+              "25%": qs[0.25], "50%": qs[0.5], "75%": qs[0.75]}
+    return df.sparkSession.createDataFrame(
+        [(i, name, None if values[name] is None else float(values[name])) for i, name in enumerate(STATS)],
+        "ord int, stat string, value double")
 
 
 def zone_details(df: DataFrame, side: str = "pickup") -> DataFrame:

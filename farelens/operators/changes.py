@@ -20,9 +20,12 @@ def keyed_scan(base: DataFrame, *cols: str) -> DataFrame:
 
 
 def lookup_keys(base: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """R2: rows whose key is in ``keys`` (EXISTS), duplicates in ``keys``
-    do not duplicate rows."""
-    return base.join(keys.select(key), key, "left_semi")
+    """R2: rows whose key is in ``keys`` (EXISTS).
+
+    The key set is de-duplicated first; ``distinct`` combines map-side, so a
+    key repeated millions of times reaches the join as one row.
+    """
+    return base.join(keys.select(key).distinct(), key, "left_semi")
 
 
 def insert_new(base: DataFrame, rows: DataFrame, key: str) -> DataFrame:
@@ -43,8 +46,9 @@ def update_matching(base: DataFrame, rows: DataFrame, key: str) -> DataFrame:
 
 
 def delete_keys(base: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Drop rows whose key is in ``keys`` (NOT EXISTS)."""
-    return base.join(keys.select(key), key, "left_anti")
+    """Drop rows whose key is in ``keys`` (NOT EXISTS); keys are
+    de-duplicated map-side first, as in ``lookup_keys``."""
+    return base.join(keys.select(key).distinct(), key, "left_anti")
 
 
 def latest_changes(changes: DataFrame, key: str, order: str = "seq") -> DataFrame:

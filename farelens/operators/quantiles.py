@@ -91,13 +91,18 @@ def _select_ranks(vals: DataFrame, ranks: list[int], lo: float, hi: float,
     return found
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float],
-                    buckets: int = 4096, small: int = 50_000) -> tuple[int, dict[float, float | None]]:
-    """Return (count of non-NULL non-NaN values, {p: quantile})."""
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], buckets: int = 16384,
+                    small: int = 50_000, stats: tuple | None = None) -> tuple[int, dict[float, float | None]]:
+    """Return (count of non-NULL non-NaN values, {p: quantile}).
+
+    ``stats`` = (count, min, max) of the values when the caller already has
+    them, which saves one pass.
+    """
     vals = _clean_values(df, col)
-    stats = vals.agg(F.count("v").alias("n"), F.min("v").alias("lo"),
-                     F.max("v").alias("hi")).first()
-    n = stats["n"]
+    if stats is None:
+        row = vals.agg(F.count("v"), F.min("v"), F.max("v")).first()
+        stats = (row[0], row[1], row[2])
+    n, lo, hi = stats
     if n == 0:
         return 0, {p: None for p in probs}
     need = set()
@@ -109,7 +114,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float],
         k1 = min(k + 1, n - 1)
         plan[p] = (k, k1, frac)
         need.update({k, k1})
-    picked = _select_ranks(vals, sorted(need), stats["lo"], stats["hi"], buckets, small)
+    picked = _select_ranks(vals, sorted(need), lo, hi, buckets, small)
     out = {}
     for p, (k, k1, frac) in plan.items():
         lo_v, hi_v = picked[k], picked[k1]

@@ -23,7 +23,8 @@ from ..operators import aggregates as agg
 from ..operators import changes as chg
 from ..operators.clean import (clean_rides, cleaning_report, drop_missing, drop_zeros, fare_floor,
                                nyc_box_clean, swap_repair)
-from ..operators.zones import (box_filter, extent_clip, inside_nyc, outside_nyc, tag_zones, zone_rides)
+from ..operators.zones import (box_filter, extent_clip, inside_nyc, outside_nyc, tag_zones, tag_zones_with,
+                               zone_rides, zones_frame)
 from ..session import scratch_path
 from ..sources.fixtures import load_rides, read_table
 from ..sources.rides import (RIDE_COLUMNS, cap_rows, count_rows, drop_columns, preview_rows, project,
@@ -95,6 +96,13 @@ def preview(spark, sf):
     return preview_rows(cleaned(spark, sf), 5)
 
 
+@register("preview_colors", W_CLEAN + f"SELECT key, {q.COLOR} AS color FROM clean "
+          f"WHERE {q.box(ZONES['manhattan'])} ORDER BY key LIMIT 2")
+def preview_colors(spark, sf):
+    """``take(2)`` of a scalar expression (fare colour of Manhattan rides)."""
+    return preview_rows(zone_rides(cleaned(spark, sf), "manhattan").select("key", fare_color().alias("color")), 2)
+
+
 @register("project_columns", W_RIDES + "SELECT key, fare_amount, passenger_count FROM rides")
 def project_columns(spark, sf):
     return project(drop_columns(rides(spark, sf), "pickup_datetime"), "key", "fare_amount", "passenger_count")
@@ -210,6 +218,12 @@ def q_zone_tags(spark, sf):
     return tag_zones(rides(spark, sf), "pickup").select("key", "zone")
 
 
+@register("zone_tags_join", W_RIDES + "SELECT key, zone FROM (" + q.zone_union("rides", "key") + ")")
+def q_zone_tags_join(spark, sf):
+    """F7 against the zone dimension table (size-checked broadcast range join)."""
+    return tag_zones_with(rides(spark, sf), zones_frame(spark), "pickup").select("key", "zone")
+
+
 @register("box_filter", W_RIDES + f"SELECT * FROM rides WHERE {q.box_both(NYC_BB_ZOOM)}")
 def q_box_filter(spark, sf):
     return box_filter(rides(spark, sf), NYC_BB_ZOOM)
@@ -266,6 +280,19 @@ def q_distance(spark, sf):
     return r6(with_distance(rides(spark, sf)).select("key", "distance_km"), "distance_km")
 
 
+def _slice_sql() -> str:
+    preds = {"midnight": q.MIDNIGHT, "snow": q.SNOW, "rush": q.RUSH, "new_york": q.INSIDE_NYC}
+    preds.update({z: q.box(ZONES[z]) for z in ("bronx", "brooklyn", "manhattan", "jfk")})
+    return W_DIST + " UNION ALL ".join(
+        f"SELECT '{n}' AS slice, key, round(distance_km, 6) AS distance_km FROM dist WHERE {preds[n]}"
+        for n in ps.SLICE_NAMES)
+
+
+@register("slice_distances", _slice_sql())
+def q_slice_distances(spark, sf):
+    return r6(ps.slice_distances(cleaned_dist(spark, sf)), "distance_km")
+
+
 @register("fare_color", W_RIDES + f"SELECT key, fare_amount, {q.COLOR} AS color FROM rides")
 def q_color(spark, sf):
     return rides(spark, sf).select("key", "fare_amount", fare_color().alias("color"))

@@ -110,6 +110,17 @@ def distance_bundle(df: DataFrame, bins: int = 50) -> DataFrame:
     return grouped_histogram(tag_zones(df, "pickup"), "zone", "distance_km", bins)
 
 
+SLICE_NAMES = ("midnight", "snow", "rush", "bronx", "brooklyn", "new_york", "manhattan", "jfk")
+
+
+def slice_distances(df: DataFrame) -> DataFrame:
+    """P3 per slice: the distance of every ride in each time slice and pickup
+    area it belongs to, one scan for all slices (expects ``distance_km``)."""
+    labels = {"midnight": SLICES["midnight"](df), "snow": SLICES["snow"](df), "rush": SLICES["rush"](df)}
+    labels.update({a: _area_predicate(a) for a in ("bronx", "brooklyn", "new_york", "manhattan", "jfk")})
+    return _explode_labels(df, labels, "slice").select("slice", "key", "distance_km")
+
+
 def fare_vs_passengers(df: DataFrame) -> DataFrame:
     """One row per ride, aligned (one select, not one job per column)."""
     return df.select("key", "passenger_count", "fare_amount")

@@ -127,3 +127,11 @@ def test_swap_repair(edge):
     cols = [c for c in edge.columns]
     again = swap_repair(fixed.select(*cols)).select(*cols)
     assert again.exceptAll(fixed.select(*cols)).count() == 0
+
+
+def test_zone_dimension_join_paths(spark, edge):
+    from farelens.operators.zones import tag_zones_with, zones_frame
+    expected = sorted((r["key"], r["zone"]) for r in tag_zones(edge).select("key", "zone").collect())
+    for limit in (10_000, 0):  # broadcast range join, then the grid-bucketed equi-join
+        got = tag_zones_with(edge, zones_frame(spark), "pickup", broadcast_max_rows=limit)
+        assert sorted((r["key"], r["zone"]) for r in got.select("key", "zone").collect()) == expected
