@@ -139,46 +139,58 @@ def _edges(bins: int, lo: Column, hi: Column, step: Column) -> tuple[Column, Col
     return edge_lo, edge_hi
 
 
+def _zero_filled(counts: DataFrame, bins: int, *keys: str) -> DataFrame:
+    """(keys, bin, cnt, lo, hi, step) with one row per occupied bin -> every bin of
+    every key, zero-filled. Works on at most bins+1 rows per key: the
+    counts are folded into a bin->count map, then ``sequence`` lays out the
+    bins; no join and no scan of the data."""
+    folded = (counts.groupBy(*keys)
+                    .agg(F.map_from_entries(F.collect_list(F.struct("bin", "cnt"))).alias("m"),
+                         *[F.max(c).alias(c) for c in ("lo", "hi", "step")])
+                    .filter(F.col("lo").isNotNull()))
+    out = folded.select(*keys, "m", "lo", "hi", "step",
+                        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    edge_lo, edge_hi = _edges(bins, F.col("lo"), F.col("hi"), F.col("step"))
+    return out.select(*keys, "bin", edge_lo.alias("bin_lo"), edge_hi.alias("bin_hi"),
+                      F.coalesce(F.element_at("m", F.col("bin")), F.lit(0).cast("bigint")).alias("cnt"))
+
+
 def distance_histogram(df: DataFrame, col: str = "distance_km", bins: int = HIST_BINS) -> DataFrame:
     """Equal-width histogram over [min, max] of the non-NaN values.
 
     The bounds are one scalar subquery (a single min/max aggregate, run once
     and inlined as a value); nothing is collected. If min == max the range
     widens by 0.5 each way; empty input gives zero rows. Output
-    (bin, bin_lo, bin_hi, cnt), zero-filled.
+    (bin, bin_lo, bin_hi, cnt), zero-filled. Two passes over the data:
+    the bounds, then one partial/final count per bin.
     """
     vals = finite_values(df, col)
     bounds = vals.agg(F.min("v").alias("mn"), F.max("v").alias("mx")).select(
         _bounds(F.col("mn"), F.col("mx"), bins).alias("b")).scalar()
     lo, hi, step = F.col("b.lo"), F.col("b.hi"), F.col("b.step")
-    counts = (_binned(vals.withColumn("b", bounds), lo, hi, step, bins)
-                  .groupBy("bin").agg(F.count(F.lit(1)).alias("cnt")))
-    frame = (df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-               .withColumn("b", bounds).filter(F.col("b.lo").isNotNull()))
-    edge_lo, edge_hi = _edges(bins, lo, hi, step)
-    return (frame.join(counts, "bin", "left")
-                 .select("bin", edge_lo.alias("bin_lo"), edge_hi.alias("bin_hi"),
-                         F.coalesce(F.col("cnt"), F.lit(0).cast("bigint")).alias("cnt")))
+    # bounds ride along as plain doubles so the aggregation stays hash-based
+    counts = (_binned(vals.withColumn("b", bounds), lo, hi, step, bins, "b.lo", "b.hi", "b.step")
+                  .groupBy("bin").agg(F.count(F.lit(1)).alias("cnt"),
+                                      *[F.max(c).alias(c) for c in ("lo", "hi", "step")]))
+    return _zero_filled(counts, bins)
 
 
 def grouped_histogram(df: DataFrame, group: str, col: str = "distance_km", bins: int = HIST_BINS) -> DataFrame:
     """A7 per group: each group gets its own [min, max] bins, zero-filled.
 
     Per-group bounds are an aggregate with one row per group; it is joined
-    back on the group key (AQE broadcasts it when its measured size is small).
+    back on the group key (AQE broadcasts it when its measured size is
+    small and splits skewed partitions otherwise).
     """
     vals = finite_values(df.withColumn("g", F.col(group)), col, "g")
     bounds = (vals.groupBy("g").agg(F.min("v").alias("mn"), F.max("v").alias("mx"))
                   .filter(F.col("mn").isNotNull())
-                  .select("g", _bounds(F.col("mn"), F.col("mx"), bins).alias("b"))
-                  .select("g", "b.lo", "b.hi", "b.step"))
-    counts = (_binned(vals.join(bounds, "g"), F.col("lo"), F.col("hi"), F.col("step"), bins, "g")
-                  .groupBy("g", "bin").agg(F.count(F.lit(1)).alias("cnt")))
-    frame = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    edge_lo, edge_hi = _edges(bins, F.col("lo"), F.col("hi"), F.col("step"))
-    return (frame.join(counts, ["g", "bin"], "left")
-                 .select(F.col("g").alias(group), "bin", edge_lo.alias("bin_lo"), edge_hi.alias("bin_hi"),
-                         F.coalesce(F.col("cnt"), F.lit(0).cast("bigint")).alias("cnt")))
+                  .select("g", _bounds(F.col("mn"), F.col("mx"), bins).alias("b")))
+    with_b = vals.join(bounds, "g")
+    counts = (_binned(with_b, F.col("b.lo"), F.col("b.hi"), F.col("b.step"), bins, "g", "b.lo", "b.hi", "b.step")
+                  .groupBy("g", "bin").agg(F.count(F.lit(1)).alias("cnt"),
+                                           *[F.max(c).alias(c) for c in ("lo", "hi", "step")]))
+    return _zero_filled(counts, bins, "g").withColumnRenamed("g", group)
 
 
 def mean_by_passengers(df: DataFrame) -> DataFrame:

@@ -51,3 +51,14 @@ def test_latest_changes_hot_key(spark):
     changes = spark.createDataFrame(rows, "id bigint, name string, val double, op string, seq int")
     last = {r["id"]: r["seq"] for r in chg.latest_changes(changes, "id").collect()}
     assert last == {1: 4999, 2: 1}
+
+
+def test_change_batch_matches_sql_text(spark):
+    from conftest import SF001
+    from farelens.plans.catalog import CHANGES_SQL, change_batch
+    from farelens.sources.fixtures import read_table
+    cust = read_table(spark, SF001, "customer")
+    a = change_batch(cust)
+    b = spark.sql(CHANGES_SQL, customer=cust)
+    assert a.schema.simpleString() == b.schema.simpleString()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
