@@ -8,6 +8,7 @@ It derives every ride from every event; nothing is filtered out.
 from __future__ import annotations
 
 import os
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,8 +41,26 @@ def rides_sql_for_duckdb() -> str:
     return RIDES_FROM_EVENTS_SQL.replace("{events}", "events")
 
 
+# Lazy table handles per session: a DataFrame is only a plan, so reusing it
+# saves the file listing and footer read of every new ``spark.read``. No
+# data is held. ``refresh_tables`` drops the handles (e.g. after new files).
+_HANDLES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def _handles(spark: SparkSession) -> dict:
+    return _HANDLES.setdefault(spark, {})
+
+
+def refresh_tables(spark: SparkSession) -> None:
+    _HANDLES.pop(spark, None)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    key = ("table", os.path.abspath(sf_dir), name)
+    h = _handles(spark)
+    if key not in h:
+        h[key] = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return h[key]
 
 
 def rides_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
@@ -50,4 +69,8 @@ def rides_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
 
 
 def load_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rides_from_events(spark, read_table(spark, sf_dir, "events"))
+    key = ("rides", os.path.abspath(sf_dir))
+    h = _handles(spark)
+    if key not in h:
+        h[key] = rides_from_events(spark, read_table(spark, sf_dir, "events"))
+    return h[key]
