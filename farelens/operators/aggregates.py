@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..constants import GRID_N_LAT, GRID_N_LON, HIST_BINS, NYC_BB, grid_constants
 from ..functions.geo import digitize, log_density
-from .quantiles import exact_quantiles
+from .quantiles import bracket_probs, exact_quantiles
 from .zones import tag_zones
 
 CALENDAR_DIMENSIONS = ("month", "day_of_week", "hour", "year")
@@ -221,9 +221,10 @@ def describe_distance(df: DataFrame, col: str = "distance_km", approx: bool = Fa
                       accuracy: int = 10_000) -> DataFrame:
     """A10: count, mean, std, min, 25%, 50%, 75%, max in long form.
 
-    Exact (default): one pass for the moments, then the quartiles by
-    distributed bucket refinement, which reuses count/min/max; only bounded
-    summaries reach the driver. ``approx`` computes everything in a single
+    Exact (default): one pass for the moments and ``percentile_approx``
+    brackets, then the quartiles by distributed interval refinement seeded
+    with (and verifying) those brackets; only bounded summaries reach the
+    driver. ``approx`` computes everything in a single
     lazy pass with ``percentile_approx`` (a bounded sketch).
     """
     vals = finite_values(df, col)
@@ -237,8 +238,10 @@ def describe_distance(df: DataFrame, col: str = "distance_km", approx: bool = Fa
         return row.select(F.inline(F.array(*[
             F.struct(F.lit(i).alias("ord"), F.lit(name).alias("stat"), cols[name].alias("value"))
             for i, name in enumerate(STATS)])))
-    m = vals.agg(*moments).first()
-    _, qs = exact_quantiles(vals, "v", probs, stats=(int(m["count"]), m["min"], m["max"]))
+    # one pass: moments plus sketch brackets that seed the exact search
+    m = vals.agg(*moments, F.percentile_approx("v", bracket_probs(probs, accuracy), accuracy).alias("br")).first()
+    _, qs = exact_quantiles(vals, "v", probs, accuracy=accuracy,
+                            stats=(int(m["count"]), m["min"], m["max"], m["br"]))
     values = {"count": m["count"], "mean": m["mean"], "std": m["std"], "min": m["min"], "max": m["max"],
               "25%": qs[0.25], "50%": qs[0.5], "75%": qs[0.75]}
     return df.sparkSession.createDataFrame(

@@ -2,14 +2,23 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, and a global quantile has a single group, so at scale
-that buffer is unbounded. Here each target rank is found by bucket
-refinement: one distributed pass counts values per bucket of the current
-interval (at most ``buckets`` rows come back), the bucket holding the rank
-becomes the next interval, and once a bucket holds at most ``small`` values
-(or a single distinct value) those values are fetched and the rank picked.
+that buffer is unbounded. Here each needed rank is located by interval
+refinement:
+
+1. One pass computes count, min, max and ``percentile_approx`` brackets
+   around every target (a few quantiles of a bounded sketch).
+2. Each following pass assigns every value to one of the open, disjoint
+   intervals or to a gap between them, and counts per (interval, bucket)
+   with a hash aggregation: at most ``buckets`` rows per interval plus one
+   per gap come back. Gap counts give each interval's rank base, so a
+   bracket is verified exactly; a bracket that misses its rank falls back to
+   the full range. The bucket holding the rank becomes the next interval.
+3. An interval with at most ``small`` values is resolved by counting its
+   distinct values; one holding a single distinct value is resolved at once.
+
 Every round trip to the driver is bounded by ``buckets`` or ``small``.
-Interpolation between neighbouring ranks is linear, as ``percentile`` and
-pandas ``describe`` do.
+Interpolation between neighbouring ranks is linear, as ``percentile``,
+pandas ``describe`` and DuckDB ``quantile_cont`` do.
 """
 
 from __future__ import annotations
@@ -26,95 +35,143 @@ def _clean_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(F.when(~F.isnan(v), v).alias("v"))
 
 
-def _interval_id(intervals: list[tuple[float, float]]) -> Column:
-    # Intervals are disjoint or equal (nested buckets): at most one matches.
-    iid = F.lit(None).cast("int")
-    for i, (a, b) in reversed(list(enumerate(intervals))):
-        iid = F.when(F.col("v").between(a, b), F.lit(i)).otherwise(iid)
-    return iid
+def _merge(intervals: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    out: list[list[float]] = []
+    for a, b in sorted(intervals):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return [(a, b) for a, b in out]
+
+
+def _slot(intervals: list[tuple[float, float]]) -> Column:
+    """2i for the gap before interval i, 2i+1 inside it, 2m after the last;
+    NULL values get NULL."""
+    v = F.col("v")
+    expr = None
+    for i, (a, b) in enumerate(intervals):
+        gap, inside = F.lit(2 * i), F.lit(2 * i + 1)
+        expr = (F.when(v < a, gap) if expr is None else expr.when(v < a, gap)).when(v <= b, inside)
+    return F.when(v.isNotNull(), expr.otherwise(F.lit(2 * len(intervals))))
 
 
 def _bucket(intervals: list[tuple[float, float]], buckets: int) -> Column:
-    out = None
+    expr = F.when(F.col("slot") % 2 == 0, F.lit(0))
     for i, (a, b) in enumerate(intervals):
         width = b - a
         e = (F.lit(0) if width == 0 else
              F.least(F.lit(buckets - 1), F.floor((F.col("v") - F.lit(a)) / F.lit(width) * buckets).cast("int")))
-        out = F.when(F.col("iid") == i, e) if out is None else out.when(F.col("iid") == i, e)
-    return out
+        expr = expr.when(F.col("slot") == 2 * i + 1, e)
+    return expr
 
 
-def _select_ranks(vals: DataFrame, ranks: list[int], lo: float, hi: float,
+def _distinct_counts(vals: DataFrame, intervals: list[tuple[float, float]]) -> list[tuple[float, int]]:
+    """Distinct values with multiplicity inside small intervals (one pass)."""
+    inside = None
+    for a, b in intervals:
+        hit = F.col("v").between(a, b)
+        inside = hit if inside is None else inside | hit
+    rows = (vals.groupBy(F.when(inside, F.col("v")).alias("x"))
+                .agg(F.count(F.lit(1)).alias("n")).collect())
+    return sorted((r["x"], r["n"]) for r in rows if r["x"] is not None)
+
+
+def _select_ranks(vals: DataFrame, start: dict[int, tuple[float, float]], lo: float, hi: float,
                   buckets: int, small: int) -> dict[int, float]:
-    # state per rank: (interval lo, interval hi, number of values below lo)
-    state = {r: (lo, hi, 0) for r in ranks}
+    interval = dict(start)
     found: dict[int, float] = {}
-    while len(found) < len(ranks):
-        open_ranks = [r for r in ranks if r not in found]
-        intervals = sorted({state[r][:2] for r in open_ranks})
-        # one pass: per (interval, bucket) count/min/max; values outside every
-        # interval form a single NULL group that is ignored
-        hist = (vals.withColumn("iid", _interval_id(intervals))
-                    .withColumn("b", _bucket(intervals, buckets))
-                    .groupBy("iid", "b")
+    while len(found) < len(interval):
+        open_ranks = [r for r in interval if r not in found]
+        ivs = _merge([interval[r] for r in open_ranks])
+        hist = (vals.withColumn("slot", _slot(ivs))
+                    .withColumn("b", _bucket(ivs, buckets))
+                    .groupBy("slot", "b")
                     .agg(F.count("v").alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
                     .collect())
-        by_interval: dict[int, list] = {}
+        per_slot: dict[int, int] = {}
+        per_bucket: dict[int, list] = {}
         for row in hist:
-            if row["iid"] is not None:
-                by_interval.setdefault(row["iid"], []).append(row)
-        fetch: dict[tuple[float, float], list[int]] = {}
+            if row["slot"] is None:
+                continue
+            per_slot[row["slot"]] = per_slot.get(row["slot"], 0) + row["c"]
+            if row["slot"] % 2 == 1:
+                per_bucket.setdefault(row["slot"], []).append(row)
+        fetch: dict[tuple[float, float], list[tuple[int, int]]] = {}
         for r in open_ranks:
-            a, b, base = state[r]
+            a, b = interval[r]
+            slot = next(2 * i + 1 for i, (x, y) in enumerate(ivs) if x <= a and b <= y)
+            base = sum(c for s, c in per_slot.items() if s < slot)
             local = r - base
-            for row in sorted(by_interval[intervals.index((a, b))], key=lambda x: x["b"]):
+            if not 0 <= local < per_slot.get(slot, 0):
+                interval[r] = (lo, hi)  # bracket missed its rank: search the full range
+                continue
+            for row in sorted(per_bucket[slot], key=lambda x: x["b"]):
                 if local < row["c"]:
-                    state[r] = (row["mn"], row["mx"], r - local)
+                    interval[r] = (row["mn"], row["mx"])
                     if row["mn"] == row["mx"]:
                         found[r] = row["mn"]
                     elif row["c"] <= small:
-                        fetch.setdefault((row["mn"], row["mx"]), []).append(r)
+                        fetch.setdefault((row["mn"], row["mx"]), []).append((r, local))
                     break
                 local -= row["c"]
-        for (a, b), rs in fetch.items():
-            # distinct values with multiplicities inside one small bucket
-            inside = F.when(F.col("v").between(a, b), F.col("v"))
-            pairs = sorted((x["x"], x["n"]) for x in vals.groupBy(inside.alias("x"))
-                           .agg(F.count(F.lit(1)).alias("n")).collect() if x["x"] is not None)
-            for r in rs:
-                local = r - state[r][2]
-                for value, n in pairs:
-                    if local < n:
-                        found[r] = value
-                        break
-                    local -= n
+        if fetch:
+            counts = _distinct_counts(vals, list(fetch))
+            for (a, b), wanted in fetch.items():
+                inside = [(x, n) for x, n in counts if a <= x <= b]
+                for r, local in wanted:
+                    for x, n in inside:
+                        if local < n:
+                            found[r] = x
+                            break
+                        local -= n
     return found
 
 
+def quantile_plan(n: int, probs: list[float]) -> dict[float, tuple[int, int, float]]:
+    """Per probability: the two ranks to interpolate between and the weight."""
+    plan = {}
+    for p in probs:
+        pos = p * (n - 1)
+        k = math.floor(pos)
+        plan[p] = (k, min(k + 1, n - 1), pos - k)
+    return plan
+
+
+def bracket_probs(probs: list[float], accuracy: int) -> list[float]:
+    """Sketch probabilities just below and above every target."""
+    m = 3.0 / accuracy
+    out = []
+    for p in probs:
+        out += [max(0.0, p - m), min(1.0, p + m)]
+    return out
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], buckets: int = 16384,
-                    small: int = 50_000, stats: tuple | None = None) -> tuple[int, dict[float, float | None]]:
+                    small: int = 50_000, accuracy: int = 10_000,
+                    stats: tuple | None = None) -> tuple[int, dict[float, float | None]]:
     """Return (count of non-NULL non-NaN values, {p: quantile}).
 
-    ``stats`` = (count, min, max) of the values when the caller already has
-    them, which saves one pass.
+    ``stats`` = (count, min, max, brackets) when the caller computed them in
+    its own pass; ``brackets`` are ``percentile_approx`` values at
+    ``bracket_probs(probs, accuracy)``, or None to start from [min, max].
     """
     vals = _clean_values(df, col)
     if stats is None:
-        row = vals.agg(F.count("v"), F.min("v"), F.max("v")).first()
-        stats = (row[0], row[1], row[2])
-    n, lo, hi = stats
+        row = vals.agg(F.count("v"), F.min("v"), F.max("v"),
+                       F.percentile_approx("v", bracket_probs(probs, accuracy), accuracy)).first()
+        stats = (row[0], row[1], row[2], row[3])
+    n, lo, hi, brackets = stats
     if n == 0:
         return 0, {p: None for p in probs}
-    need = set()
-    plan = {}
-    for p in probs:
-        pos = p * (n - 1)
-        k = math.floor(pos)
-        frac = pos - k
-        k1 = min(k + 1, n - 1)
-        plan[p] = (k, k1, frac)
-        need.update({k, k1})
-    picked = _select_ranks(vals, sorted(need), lo, hi, buckets, small)
+    plan = quantile_plan(n, probs)
+    start: dict[int, tuple[float, float]] = {}
+    for i, p in enumerate(probs):
+        k, k1, _ = plan[p]
+        iv = (brackets[2 * i], brackets[2 * i + 1]) if brackets else (lo, hi)
+        for r in (k, k1):
+            start.setdefault(r, iv)
+    picked = _select_ranks(vals, start, lo, hi, buckets, small)
     out = {}
     for p, (k, k1, frac) in plan.items():
         lo_v, hi_v = picked[k], picked[k1]

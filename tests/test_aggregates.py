@@ -156,3 +156,24 @@ def test_mean_by_passengers_skips_nan(spark):
 def test_usd_per_km_zero_distance(spark):
     df = spark.createDataFrame([(5.0, 0.0)], "fare_amount double, distance_km double")
     assert agg.usd_per_km(df).first()["usd_per_km"] is None
+
+
+def test_quantiles_with_bad_brackets_fall_back(spark):
+    rnd = random.Random(11)
+    vals = [rnd.expovariate(0.3) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    probs = [0.25, 0.5, 0.75]
+    wrong = [100.0, 200.0] * 3  # brackets that cannot hold the ranks
+    n, got = exact_quantiles(df, "v", probs, buckets=16, small=8, stats=(3000, min(vals), max(vals), wrong))
+    for p in probs:
+        assert got[p] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-12)
+
+
+def test_quantiles_heavy_tail(spark):
+    rnd = random.Random(5)
+    vals = [rnd.paretovariate(1.1) for _ in range(20000)] + [1e6]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    probs = [0.1, 0.5, 0.99]
+    _, got = exact_quantiles(df, "v", probs, small=64)
+    for p in probs:
+        assert got[p] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-12)
