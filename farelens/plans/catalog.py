@@ -561,7 +561,7 @@ def q_fare_series(spark, sf):
 @register("stream_ingest", W_RIDES + "SELECT * FROM rides")
 def q_stream_ingest(spark, sf):
     src = scratch_path(spark, "ride-files")
-    write_rides_csv(rides(spark, sf).repartition(4), src)
+    write_rides_csv(rides(spark, sf), src)  # one file per input partition
     out = rs.run_to_parquet(rs.read_rides_stream(spark, src))
     back = spark.read.parquet(out)
     return back.withColumn("pickup_datetime", F.col("pickup_datetime").cast("timestamp_ntz"))
