@@ -26,7 +26,7 @@ from ..operators.clean import (clean_rides, cleaning_report, drop_missing, drop_
 from ..operators.zones import (box_filter, extent_clip, inside_nyc, outside_nyc, tag_zones, tag_zones_with,
                                zone_rides, zones_frame)
 from ..session import scratch_path
-from ..sources.fixtures import load_rides, read_table
+from ..sources.fixtures import derived, load_rides, read_table
 from ..sources.rides import (RIDE_COLUMNS, cap_rows, count_rows, drop_columns, preview_rows, project,
                              read_rides_csv, register_view, subset_rows, write_rides_csv)
 from ..streaming import rides_stream as rs
@@ -56,11 +56,11 @@ def rides(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return clean_rides(rides(spark, sf))
+    return derived(spark, ("cleaned", os.path.abspath(sf)), lambda: clean_rides(rides(spark, sf)))
 
 
 def cleaned_dist(spark: SparkSession, sf: str) -> DataFrame:
-    return with_distance(cleaned(spark, sf))
+    return derived(spark, ("cleaned_dist", os.path.abspath(sf)), lambda: with_distance(cleaned(spark, sf)))
 
 
 W_RIDES = q.with_(q.RIDES)
@@ -699,6 +699,3 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """rides -> clean -> features -> average fare by hour."""
     return QUERIES["avg_fare_hour"](spark, sf)
 
-
-def table_path(sf: str, name: str) -> str:
-    return os.path.join(sf, f"{name}.parquet")

@@ -55,6 +55,14 @@ def refresh_tables(spark: SparkSession) -> None:
     _HANDLES.pop(spark, None)
 
 
+def derived(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """A lazily built plan reused per session (e.g. cleaned rides)."""
+    h = _handles(spark)
+    if key not in h:
+        h[key] = build()
+    return h[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = ("table", os.path.abspath(sf_dir), name)
     h = _handles(spark)
