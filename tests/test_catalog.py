@@ -70,3 +70,13 @@ def test_zone_filter_pushed_to_parquet(spark):
     p = _plan(df)
     assert "PushedFilters: [IsNotNull(pickup_longitude), IsNotNull(pickup_latitude)" in p
     assert "ReadSchema: struct<key:string,fare_amount:float,pickup_longitude:float,pickup_latitude:float>" in p
+
+
+CAPS = {"cap_rides", "subset_400", "preview_rows", "preview_colors"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_no_limit_outside_caps(spark, name):
+    if name in CAPS or name.startswith("stream_") or name in ("csv_roundtrip", "describe_distance"):
+        pytest.skip("cap is the feature, or result is materialised through files")
+    assert "Limit" not in _optimized(entry.queries()[name](spark, SF0001))
