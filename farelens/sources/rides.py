@@ -65,7 +65,7 @@ def write_rides_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...]
     writer.parquet(path)
 
 
-def register_view(df: DataFrame, name: str = "fare_prediction") -> DataFrame:
+def register_view(df: DataFrame, name: str = "rides") -> DataFrame:
     """Name a (batch or streaming) plan for SQL."""
     df.createOrReplaceTempView(name)
     return df
