@@ -57,8 +57,8 @@ def write_rides_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_rides_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
                         mode: str = "overwrite") -> None:
-    """Parquet sink; ``partition_by=("year", "month")`` lets calendar slices
-    prune whole directories."""
+    """Parquet sink; with ``partition_by=("year", "month")`` a filter on those
+    columns prunes whole directories (``PartitionFilters`` in the scan)."""
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
