@@ -592,6 +592,21 @@ def q_stream_avg(spark, sf):
     stream = clean_rides(rs.ride_stream_from_events(spark, sf))
     return r6(spark.read.parquet(rs.stream_avg_fare(stream, "hour")), "avg_fare")
 
+@register("stream_avg_fare_all", W_CLEAN + "SELECT dimension, bucket, round(avg_fare, 6) AS avg_fare, n_rides "
+          f"FROM ({AVG_ALL})")
+def q_stream_avg_all(spark, sf):
+    stream = clean_rides(rs.ride_stream_from_events(spark, sf))
+    return r6(spark.read.parquet(rs.stream_avg_fare_all(stream)), "avg_fare")
+
+
+@register("stream_slices", W_CLEAN + " UNION ALL ".join(
+    f"SELECT '{n}' AS slice, key, pickup_longitude, pickup_latitude, fare_amount, {q.COLOR} AS color "
+    f"FROM clean WHERE {p}" for n, p in (("snow", q.SNOW), ("midnight", q.MIDNIGHT), ("rush", q.RUSH))))
+def q_stream_slices(spark, sf):
+    """T5 slices: snow / midnight / rush tagging of the cleaned stream."""
+    stream = clean_rides(rs.ride_stream_from_events(spark, sf))
+    return spark.read.parquet(rs.run_to_parquet(ps.special_map(stream)))
+
 # ---------------------------------------------------------------- keyed table (R)
 
 # Change batch over the whole customer table (oracle text; Spark builds the

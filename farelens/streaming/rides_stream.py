@@ -9,17 +9,16 @@ replayed epoch after a failure replaces its output instead of duplicating it.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.color import fare_color
 from ..functions.geo import with_distance
+from ..operators.aggregates import avg_fare_all
 from ..operators.clean import clean_rides
 from ..session import scratch_path
-from ..sources.fixtures import rides_from_events
+from ..sources.fixtures import read_table, rides_from_events
 from ..sources.rides import RIDE_SCHEMA
 
 
@@ -34,7 +33,7 @@ def read_rides_stream(spark: SparkSession, path: str, sep: str = ",",
 
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table read in place as a file stream (one file, one table)."""
-    schema = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).schema
+    schema = read_table(spark, sf_dir, name).schema
     return (spark.readStream.schema(schema)
                  .option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir))
 
@@ -96,17 +95,12 @@ def stream_clean_features(stream: DataFrame) -> DataFrame:
     return with_distance(clean_rides(stream)).withColumn("color", fare_color())
 
 
-def stream_avg_fare(stream: DataFrame, dim: str, out: str | None = None,
-                    checkpoint: str | None = None) -> str:
-    """T5: running average fare per calendar bucket.
-
-    Complete mode keeps one state row per bucket (24 hours, 12 months, ...);
-    each epoch overwrites the result table with the full current answer.
-    """
-    spark = stream.sparkSession
-    out = out or scratch_path(spark, "avg-fare")
-    checkpoint = checkpoint or scratch_path(spark, "avg-fare-ckpt")
-    agg = stream.groupBy(dim).agg(F.avg("fare_amount").alias("avg_fare"))
+def _complete_to_parquet(agg: DataFrame, out: str | None, checkpoint: str | None, purpose: str) -> str:
+    """Run a complete-mode aggregation to the end of the available input;
+    every epoch overwrites ``out`` with the full current result."""
+    spark = agg.sparkSession
+    out = out or scratch_path(spark, purpose)
+    checkpoint = checkpoint or scratch_path(spark, purpose + "-ckpt")
 
     def write_latest(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out)
@@ -115,3 +109,20 @@ def stream_avg_fare(stream: DataFrame, dim: str, out: str | None = None,
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _await(q)
     return out
+
+
+def stream_avg_fare_all(stream: DataFrame, out: str | None = None, checkpoint: str | None = None) -> str:
+    """T5 for all four calendar dimensions at once: one stateful GROUPING SETS
+    aggregation (state: one row per bucket, about 50), complete mode."""
+    return _complete_to_parquet(avg_fare_all(stream), out, checkpoint, "avg-fare-all")
+
+
+def stream_avg_fare(stream: DataFrame, dim: str, out: str | None = None,
+                    checkpoint: str | None = None) -> str:
+    """T5: running average fare per calendar bucket.
+
+    Complete mode keeps one state row per bucket (24 hours, 12 months, ...);
+    each epoch overwrites the result table with the full current answer.
+    """
+    agg = stream.groupBy(dim).agg(F.avg("fare_amount").alias("avg_fare"))
+    return _complete_to_parquet(agg, out, checkpoint, "avg-fare")
