@@ -14,19 +14,28 @@ from ..constants import DAY_HOURS, RUSH_HOURS, SNOW_MONTHS
 
 TS = "pickup_datetime"
 
-# --- fixed values: output patterns of the calendar features -------------------
-FEATURE_PATTERNS = {
-    "year": "y",
-    "month": "M",
-    "day_of_week": "E",
-    "hour": "HH",
-    "time": "HH:mm:ss",
-}
+# --- fixed values: weekday labels, Monday first (as date pattern "E") ---------
+WEEKDAY_LABELS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
+
+
+def _two_digits(x: Column) -> Column:
+    return F.lpad(x.cast("string"), 2, "0")
 
 
 def calendar_columns(ts: str | Column = TS) -> dict[str, Column]:
+    """The strings of date patterns y, M, E, HH and HH:mm:ss, built from field
+    extraction: on ``timestamp_ntz`` no time zone is involved (a formatter
+    would pass through the session zone and shift wall-clock times that fall
+    in a daylight-saving gap); on ``timestamp`` the session zone applies, as
+    for any formatter."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return {name: F.date_format(ts, pattern) for name, pattern in FEATURE_PATTERNS.items()}
+    return {
+        "year": F.year(ts).cast("string"),
+        "month": F.month(ts).cast("string"),
+        "day_of_week": F.element_at(F.array(*[F.lit(d) for d in WEEKDAY_LABELS]), F.weekday(ts) + 1),
+        "hour": _two_digits(F.hour(ts)),
+        "time": F.concat_ws(":", _two_digits(F.hour(ts)), _two_digits(F.minute(ts)), _two_digits(F.second(ts))),
+    }
 
 
 def add_calendar_features(df: DataFrame, ts: str = TS, drop: bool = False) -> DataFrame:

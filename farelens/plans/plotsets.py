@@ -11,15 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import GRID_N_LAT, GRID_N_LON, NYC_BB, NYC_BB_ZOOM, ZONES
-from ..functions.calendar import SLICES
+from ..functions.calendar import SLICES, WEEKDAY_LABELS as WEEKDAYS
 from ..functions.color import fare_color
 from ..functions.geo import zoom_distance_fare
 from ..operators.aggregates import avg_fare_all, density_grid, grouped_histogram
 from ..operators.zones import box_predicate, inside_nyc_predicate, tag_zones
 
-# --- fixed values: weekday labels in calendar order (Monday first) -----------
-WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
-
 AREAS = ("new_york", "brooklyn", "bronx", "manhattan", "jfk")
 
 

@@ -30,15 +30,25 @@ RIDE_COLUMNS = [f.name for f in RIDE_SCHEMA.fields]
 CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def read_rides_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+RIDE_SCHEMA_NTZ = T.StructType([
+    T.StructField(f.name, T.TimestampNTZType() if f.name == "pickup_datetime" else f.dataType, True)
+    for f in RIDE_SCHEMA.fields])
+
+
+def read_rides_csv(spark: SparkSession, path: str, sep: str = ",", ntz: bool = False) -> DataFrame:
     """Batch CSV scan with header and the fixed schema.
 
-    Parsing leaves the timestamp format open, so both ``2009-06-15 17:26:21 UTC``
-    and ISO text with fractions are accepted.
+    By default the timestamp is ``timestamp`` and its format is left open, so
+    both ``2009-06-15 17:26:21 UTC`` and ISO text with fractions are accepted.
+    ``ntz=True`` reads files written by ``write_rides_csv`` from
+    ``timestamp_ntz`` rides back as wall-clock values, independent of zones.
     """
-    return (spark.read.schema(RIDE_SCHEMA)
-            .option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
-            .csv(path))
+    r = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+    if ntz:
+        r = r.schema(RIDE_SCHEMA_NTZ).option("timestampNTZFormat", CSV_TS_FORMAT)
+    else:
+        r = r.schema(RIDE_SCHEMA)
+    return r.csv(path)
 
 
 def read_rides_parquet(spark: SparkSession, path: str) -> DataFrame:

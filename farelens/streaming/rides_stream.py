@@ -19,13 +19,16 @@ from ..operators.aggregates import avg_fare_all
 from ..operators.clean import clean_rides
 from ..session import scratch_path
 from ..sources.fixtures import read_table, rides_from_events
-from ..sources.rides import RIDE_SCHEMA
+from ..sources.rides import CSV_TS_FORMAT, RIDE_SCHEMA, RIDE_SCHEMA_NTZ
 
 
 def read_rides_stream(spark: SparkSession, path: str, sep: str = ",",
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """File stream of ride CSVs with header and the fixed schema."""
-    r = spark.readStream.schema(RIDE_SCHEMA).option("header", True).option("sep", sep)
+                      max_files_per_trigger: int | None = None, ntz: bool = False) -> DataFrame:
+    """File stream of ride CSVs with header and the fixed schema
+    (``ntz`` as in ``read_rides_csv``)."""
+    r = spark.readStream.option("header", True).option("sep", sep)
+    r = (r.schema(RIDE_SCHEMA_NTZ).option("timestampNTZFormat", CSV_TS_FORMAT) if ntz
+         else r.schema(RIDE_SCHEMA))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.csv(path)
