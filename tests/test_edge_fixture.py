@@ -135,3 +135,18 @@ def test_zone_dimension_join_paths(spark, edge):
     for limit in (10_000, 0):  # broadcast range join, then the grid-bucketed equi-join
         got = tag_zones_with(edge, zones_frame(spark), "pickup", broadcast_max_rows=limit)
         assert sorted((r["key"], r["zone"]) for r in got.select("key", "zone").collect()) == expected
+
+
+def test_calendar_features_ignore_session_zone_for_ntz(spark):
+    import datetime as dt
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        # 02:30 on 2012-03-11 does not exist in New York (clocks jump 02:00 -> 03:00)
+        df = spark.createDataFrame([(dt.datetime(2012, 3, 11, 2, 30, 5),)], "pickup_datetime timestamp_ntz")
+        r = add_calendar_features(df).first()
+        assert (r["year"], r["month"], r["day_of_week"], r["hour"], r["time"]) == \
+            ("2012", "3", "Sun", "02", "02:30:05")
+        assert keys(rush_hour_rides(df.withColumn("key", F.lit("x")))) == []
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
