@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from farelens.plans import catalog
 from conftest import SF0001
 from oracle_compare import compare, duck_connect
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(catalog.ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
