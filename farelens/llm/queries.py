@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm import quality_rules
+from farelens.llm import factorization, quality_rules
 from farelens.llm.common import table
 
 
@@ -19,8 +19,21 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "posterior")
 
 
+def held_out() -> Column:
+    """Rows whose labels nothing may learn from."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = factorization.fit(docs, table(spark, sf_dir, "labels").filter(~held_out()))
+    scored = factorization.score(docs, model, drop_text=True)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {}
