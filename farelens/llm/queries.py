@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm import factorization, quality_rules
+from farelens.llm import factorization, personal_data, quality_rules
 from farelens.llm.common import table
 
 
@@ -31,8 +31,17 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = personal_data.KINDS[:4]
+    return found.select("doc_id", *map(count, base), F.sha2(personal_data.listed(only=base), 256).alias("base_sha256"),
+                        personal_data.listed().alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
+    "op8_personal_data": op8_personal_data,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
