@@ -5,13 +5,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm import factorization, personal_data, quality_rules
+from farelens.llm import factorization, packing, personal_data, quality_rules
 from farelens.llm.common import table
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The ids stay where they are made; their checksum travels."""
+    pieces = packing.pieces(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", *[F.col("stats")[c].alias(c) for c in
@@ -40,6 +51,7 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
     "op8_personal_data": op8_personal_data,
     "op9_quality_classifier": op9_quality_classifier,
