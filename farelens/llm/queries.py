@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm import factorization, packing, personal_data, quality_rules
+from farelens.llm import factorization, ngram_join, packing, personal_data, quality_rules
 from farelens.llm.common import table
 
 
@@ -50,11 +50,16 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         personal_data.listed().alias("spans"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
     "op8_personal_data": op8_personal_data,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {}
