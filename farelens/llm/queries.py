@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm import bpe, chat_format, factorization, ngram_join, packing, personal_data, quality_rules
+from farelens.llm import bpe, chat_format, factorization, license_scan, ngram_join, packing, personal_data, quality_rules
 from farelens.llm.common import table
 
 
@@ -23,6 +23,15 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    names = lambda *columns: F.array_join(F.array_sort(F.array_distinct(F.concat(*(F.col(c) for c in columns)))), ",")
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min("base.place").alias("first_word"),
+        F.array_max("base.place").alias("last_word"), names("base.label").alias("base_labels"), names("base.label", "best.label").alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.array_max("matches.score"), F.lit(0.0))).alias("score"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = f"{chat_format.END}{chat_format.START}assistant ok"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -74,6 +83,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_license_scan": op3_license_scan,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_quality_rules": op5_quality_rules,
     "op6_bpe": op6_bpe,
