@@ -9,10 +9,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm import bpe, chat_format, factorization, license_scan, ngram_join, packing, personal_data, quality_rules
+from farelens.llm import bpe, chat_format, factorization, fingerprints, license_scan, ngram_join, packing, personal_data, quality_rules, url_filter
 from farelens.llm.common import table
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+    return both.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprints.as_text("fingerprint").alias("fingerprint"),
+        fingerprints.as_text("edited_fingerprint").alias("edited_fingerprint"),
+        fingerprints.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        fingerprints.likeness("fingerprint", "next_fingerprint").alias("near_next"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """The ids stay where they are made; their checksum travels."""
     pieces = packing.pieces(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
@@ -69,6 +78,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).drop("url")
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -82,11 +95,13 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_license_scan": op3_license_scan,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_quality_rules": op5_quality_rules,
     "op6_bpe": op6_bpe,
+    "op7_url_filter": op7_url_filter,
     "op8_personal_data": op8_personal_data,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
