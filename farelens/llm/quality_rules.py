@@ -200,4 +200,10 @@ def keep_good(docs: DataFrame, text: str = "text", rules: Sequence = RULES, thre
     model = fit_documents(docs, text, rules)
     named = with_votes(docs, text, rules)
     s, v = named.columns[-2:]
-    return named.filter(~base_failed(s) & (model.posterior(F.col(v)) >= threshold)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # A column that differs by row keeps the optimiser from moving the filter
+    # below the projections, where it would compute the statistics once more
+    # for each of its terms.
+    row = fresh(named, "fl_row")
+    judged = named.withColumn(row, F.monotonically_increasing_id()).filter(
+        (F.col(row) >= 0) & ~base_failed(s) & (model.posterior(F.col(v)) >= threshold))
+    return judged.select(*[F.col(f"`{c}`") for c in docs.columns])
