@@ -5,7 +5,8 @@ and allows or blocks; of the rules that fit a url the longest decides. Urls
 that rules decide are the labelled urls. From a bounded sample of them
 (``max_train_rows``, those with the smallest hashed urls) Spark ML's boosted
 trees learn lexical features: lengths, depth, digit ratio, entropy, number of
-parameters, and how often urls with the same ending of the host are blocked.
+parameters, and how often urls with the same ending of the host, alone and
+with the same first step of the path, are blocked.
 The model judges the urls no rule fits. All steps are SQL expressions and
 Spark ML, in the JVM.
 
@@ -31,7 +32,8 @@ from farelens.llm.common import stored
 #: (verdict, host/path)
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 FEATURES = ("url_length", "host_length", "path_length", "depth", "host_labels", "digit_ratio", "hyphens", "entropy", "host_entropy",
-            "parameters", "has_fragment", "suffix_blocked", "suffix_seen")
+            "parameters", "has_fragment", "suffix_blocked", "suffix_seen", "section_blocked", "section_seen")
+ENDINGS = ("suffix", "section")
 
 
 def with_parts(pages: DataFrame) -> DataFrame:
@@ -61,8 +63,9 @@ def _entropy(text: str) -> Column:
 
 
 def with_features(named: DataFrame) -> DataFrame:
-    """``named`` (with url, host, path) plus all features but those of the
-    suffix, and ``suffix``, the last label of the host."""
+    """``named`` (with url, host, path) plus all features but the statistics
+    of ``suffix``, the last label of the host, and of ``section``, that and
+    the first step of the path."""
     url = F.coalesce(F.col("url"), F.lit(""))
     digits = F.length(F.regexp_replace(url, "[^0-9]+", ""))
     query = F.when(F.instr(url, "?") > 0, F.substring_index(F.substring_index(url, "#", 1), "?", -1)).otherwise("")
@@ -73,20 +76,22 @@ def with_features(named: DataFrame) -> DataFrame:
         "digit_ratio": digits / F.greatest(F.length(url), F.lit(1)), "hyphens": count(url, "-"), "host_entropy": _entropy("host"),
         "parameters": F.when(query == "", 0.0).otherwise(count(query, "&") + 1), "has_fragment": (F.instr(url, "#") > 0).cast("double"),
         "suffix": F.substring_index("host", ".", -1),
-    }).withColumn("entropy", _entropy("fl_url")).drop("fl_url")
+    }).withColumn("entropy", _entropy("fl_url")).withColumn(
+        "section", F.concat_ws("/", "suffix", F.substring_index(F.expr("substr(path, 2)"), "/", 1))).drop("fl_url")
 
 
 @dataclass
 class Judge:
-    suffixes: DataFrame  # suffix, suffix_blocked, suffix_seen
+    endings: dict[str, DataFrame]  # ending, its _blocked and _seen
     overall: float
     model: GBTClassificationModel | None
     usual: str
 
-    def with_suffix(self, made: DataFrame) -> DataFrame:
-        # As many rows as suffixes in the sample: its bound is theirs.
-        return made.join(F.broadcast(self.suffixes), "suffix", "left").fillna(
-            {"suffix_blocked": self.overall, "suffix_seen": 0.0})
+    def with_endings(self, made: DataFrame) -> DataFrame:
+        for name, seen in self.endings.items():
+            # No more rows than the sample has: its bound is theirs.
+            made = made.join(F.broadcast(seen), name, "left").fillna({f"{name}_blocked": self.overall, f"{name}_seen": 0.0})
+        return made
 
 
 def _assembled(made: DataFrame) -> DataFrame:
@@ -98,11 +103,12 @@ def fit(labelled: DataFrame, max_train_rows: int = 20_000, trees: int = 10, dept
     sample = stored(with_features(labelled.orderBy(F.xxhash64("url"), "url").limit(max_train_rows))
                     .withColumn("label", (F.col("verdict") == "block").cast("double")), "labelled")
     seen = sample.agg(F.count("*").alias("n"), F.coalesce(F.avg("label"), F.lit(0.0)).alias("blocked")).first()
-    suffixes = stored(sample.groupBy("suffix").agg(
-        ((F.sum("label") + 5 * seen["blocked"]) / (F.count("*") + 5)).alias("suffix_blocked"), F.log1p(F.count("*")).alias("suffix_seen")), "suffixes")
-    judge = Judge(suffixes, seen["blocked"], None, "block" if seen["blocked"] > 0.5 else "allow")
+    endings = {name: stored(sample.groupBy(name).agg(
+        ((F.sum("label") + 5 * seen["blocked"]) / (F.count("*") + 5)).alias(f"{name}_blocked"), F.log1p(F.count("*")).alias(f"{name}_seen")), name)
+        for name in ENDINGS}
+    judge = Judge(endings, seen["blocked"], None, "block" if seen["blocked"] > 0.5 else "allow")
     if 0 < seen["blocked"] < 1:
-        ready = stored(_assembled(judge.with_suffix(sample)).select("features", "label"), "features")
+        ready = stored(_assembled(judge.with_endings(sample)).select("features", "label"), "features")
         judge.model = GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=32, stepSize=0.3, seed=7, cacheNodeIds=False).fit(ready)
     return judge
 
@@ -117,7 +123,7 @@ def judge(pages: DataFrame, rules=RULES, max_train_rows: int = 20_000) -> DataFr
     if fitted.model is None:
         made = made.withColumn("score", F.lit(float(fitted.usual == "block")))
     else:
-        ready = _assembled(fitted.with_suffix(with_features(made)))
+        ready = _assembled(fitted.with_endings(with_features(made)))
         shown = fitted.model.setPredictionCol("").setRawPredictionCol("").setProbabilityCol("fl_probability").transform(ready)
         made = shown.withColumn("score", F.get(vector_to_array("fl_probability"), F.lit(1)))
     return made.select(
