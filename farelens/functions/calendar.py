@@ -27,14 +27,15 @@ def calendar_columns(ts: str | Column = TS) -> dict[str, Column]:
     extraction: on ``timestamp_ntz`` no time zone is involved (a formatter
     would pass through the session zone and shift wall-clock times that fall
     in a daylight-saving gap); on ``timestamp`` the session zone applies, as
-    for any formatter."""
+    for any formatter. A NULL timestamp gives NULL in every column."""
     ts = F.col(ts) if isinstance(ts, str) else ts
+    known = lambda x: F.when(ts.isNotNull(), x)
     return {
         "year": F.year(ts).cast("string"),
         "month": F.month(ts).cast("string"),
-        "day_of_week": F.element_at(F.array(*[F.lit(d) for d in WEEKDAY_LABELS]), F.weekday(ts) + 1),
+        "day_of_week": known(F.element_at(F.array(*[F.lit(d) for d in WEEKDAY_LABELS]), F.weekday(ts) + 1)),
         "hour": _two_digits(F.hour(ts)),
-        "time": F.concat_ws(":", _two_digits(F.hour(ts)), _two_digits(F.minute(ts)), _two_digits(F.second(ts))),
+        "time": known(F.concat_ws(":", _two_digits(F.hour(ts)), _two_digits(F.minute(ts)), _two_digits(F.second(ts)))),
     }
 
 
@@ -45,17 +46,6 @@ def add_calendar_features(df: DataFrame, ts: str = TS, drop: bool = False) -> Da
     return out.drop(ts) if drop else out
 
 
-def calendar_ordinals(ts: str | Column = TS) -> dict[str, Column]:
-    """Sortable integers beside the strings (weekday: Monday = 1)."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return {
-        "year_num": F.year(ts),
-        "month_num": F.month(ts),
-        "weekday_num": F.weekday(ts) + 1,
-        "hour_num": F.hour(ts),
-    }
-
-
 def _int_part(df: DataFrame, part: str) -> Column:
     # Prefer the timestamp; fall back to the published string feature.
     if TS in df.columns:

@@ -77,12 +77,6 @@ def grid_cells(lon: str | Column, lat: str | Column, bb=NYC_BB,
             digitize(lat, g["lat0"], g["dlat"], n_lat))
 
 
-def cell_size_columns(bb=NYC_BB, n_lon: int = GRID_N_LON, n_lat: int = GRID_N_LAT) -> dict[str, Column]:
-    """Constant cell width/height/area as literals (folded by Catalyst)."""
-    g = grid_constants(bb, n_lon, n_lat)
-    return {k: F.lit(g[k]) for k in ("cell_width_km", "cell_height_km", "cell_area_km2")}
-
-
 def log_density(x: str | Column) -> Column:
     """log(1 + d)."""
     return F.log1p(_c(x))

@@ -1 +1 @@
-"""Operators: cleaning, zones, aggregations, quantiles, keyed changes."""
+"""Operators: cleaning, zones, aggregations, keyed changes."""

@@ -9,12 +9,11 @@ cells, a few zones), never by the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import GRID_N_LAT, GRID_N_LON, HIST_BINS, NYC_BB, grid_constants
 from ..functions.geo import digitize, log_density
-from .quantiles import bracket_probs, exact_quantiles
 from .zones import tag_zones
 
 CALENDAR_DIMENSIONS = ("month", "day_of_week", "hour", "year")
@@ -175,22 +174,31 @@ def distance_histogram(df: DataFrame, col: str = "distance_km", bins: int = HIST
     return _zero_filled(counts, bins)
 
 
-def grouped_histogram(df: DataFrame, group: str, col: str = "distance_km", bins: int = HIST_BINS) -> DataFrame:
-    """A7 per group: each group gets its own [min, max] bins, zero-filled.
+def grouped_histogram(df: DataFrame, group: str, groups, col: str = "distance_km", bins: int = HIST_BINS) -> DataFrame:
+    """A7 per group: each of ``groups`` (a fixed, short list of values of the
+    column ``group``) gets its own [min, max] bins, zero-filled.
 
-    Per-group bounds are an aggregate with one row per group; it is joined
-    back on the group key (AQE broadcasts it when its measured size is
-    small and splits skewed partitions otherwise).
+    The bounds of all groups are one scalar subquery, a single row of
+    conditional minima and maxima; binning is a projection, and one count by
+    (group, bin) combines map-side. No join, and no exchange on the group
+    alone, so a group with most of the rows is no single task's work. Empty
+    bins come from adding a zero row for every bin.
     """
     vals = finite_values(df.withColumn("g", F.col(group)), col, "g")
-    bounds = (vals.groupBy("g").agg(F.min("v").alias("mn"), F.max("v").alias("mx"))
-                  .filter(F.col("mn").isNotNull())
-                  .select("g", _bounds(F.col("mn"), F.col("mx"), bins).alias("b")))
-    with_b = vals.join(bounds, "g")
-    counts = (_binned(with_b, F.col("b.lo"), F.col("b.hi"), F.col("b.step"), bins, "g", "b.lo", "b.hi", "b.step")
-                  .groupBy("g", "bin").agg(F.count(F.lit(1)).alias("cnt"),
-                                           *[F.max(c).alias(c) for c in ("lo", "hi", "step")]))
-    return _zero_filled(counts, bins, "g").withColumnRenamed("g", group)
+    limits = [(F.min(F.when(F.col("g") == g, F.col("v"))), F.max(F.when(F.col("g") == g, F.col("v")))) for g in groups]
+    row = vals.agg(*[x.alias(f"{m}{k}") for k, pair in enumerate(limits) for m, x in zip(("mn", "mx"), pair)])
+    entry = [F.struct(F.lit(g).alias("g"), _bounds(F.col(f"mn{k}"), F.col(f"mx{k}"), bins).alias("b")) for k, g in enumerate(groups)]
+    bounds = row.select(F.map_from_entries(F.array(*entry)).alias("m")).scalar()
+    lo, hi, step = F.col("b.lo"), F.col("b.hi"), F.col("b.step")
+    with_b = vals.withColumn("m", bounds).withColumn("b", F.col("m")[F.col("g")])
+    binned = _binned(with_b, lo, hi, step, bins, "g", "b.lo", "b.hi", "b.step").withColumn("one", F.lit(1).cast("bigint"))
+    frame = (df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), bounds.alias("m"))
+               .select("bin", F.explode("m").alias("g", "b")).filter(F.col("b.lo").isNotNull()))
+    zeros = frame.select("g", "b.lo", "b.hi", "b.step", "bin", F.lit(0).cast("bigint").alias("one"))
+    counts = (binned.unionByName(zeros).groupBy("g", "bin")
+                    .agg(F.sum("one").alias("cnt"), *[F.max(c).alias(c) for c in ("lo", "hi", "step")]).filter("bin >= 0"))
+    edge_lo, edge_hi = _edges(bins, F.col("lo"), F.col("hi"), F.col("step"))
+    return counts.select(F.col("g").alias(group), "bin", edge_lo.alias("bin_lo"), edge_hi.alias("bin_hi"), "cnt")
 
 
 def mean_by_passengers(df: DataFrame) -> DataFrame:
@@ -219,34 +227,59 @@ STATS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
 
 def describe_distance(df: DataFrame, col: str = "distance_km", approx: bool = False,
                       accuracy: int = 10_000) -> DataFrame:
-    """A10: count, mean, std, min, 25%, 50%, 75%, max in long form.
-
-    Exact (default): one pass for the moments and ``percentile_approx``
-    brackets, then the quartiles by distributed interval refinement seeded
-    with (and verifying) those brackets; only bounded summaries reach the
-    driver. ``approx`` computes everything in a single
-    lazy pass with ``percentile_approx`` (a bounded sketch).
+    """A10: count, mean, std, min, 25%, 50%, 75%, max in long form, lazily.
+
+    Exact (default): the moments and, around each quartile, a bracket from
+    ``percentile_approx`` (whose rank error is at most rows / accuracy) are
+    one scalar subquery. A second pass counts, by quartile, the values below
+    and above its bracket as one row each and those inside by value, combined
+    map-side; only these few (a share of about 6 / accuracy of the rows, fewer
+    where values tie) are put in order. A rank that fell outside its bracket would raise an
+    error. ``approx`` is a single pass with ``percentile_approx``.
     """
     vals = finite_values(df, col)
     probs = [0.25, 0.5, 0.75]
     moments = [F.count("v").cast("double").alias("count"), F.avg("v").alias("mean"),
                F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")]
-    if approx:
-        row = vals.agg(*moments, F.percentile_approx("v", probs, accuracy).alias("q"))
-        cols = {"25%": F.col("q")[0], "50%": F.col("q")[1], "75%": F.col("q")[2]}
-        cols.update({k: F.col(k) for k in ("count", "mean", "std", "min", "max")})
+
+    def long_form(row: DataFrame, cols: dict[str, Column]) -> DataFrame:
         return row.select(F.inline(F.array(*[
-            F.struct(F.lit(i).alias("ord"), F.lit(name).alias("stat"), cols[name].alias("value"))
+            F.struct(F.lit(i).alias("ord"), F.lit(name).alias("stat"), cols[name].cast("double").alias("value"))
             for i, name in enumerate(STATS)])))
-    # one pass: moments plus sketch brackets that seed the exact search
-    m = vals.agg(*moments, F.percentile_approx("v", bracket_probs(probs, accuracy), accuracy).alias("br")).first()
-    _, qs = exact_quantiles(vals, "v", probs, accuracy=accuracy,
-                            stats=(int(m["count"]), m["min"], m["max"], m["br"]))
-    values = {"count": m["count"], "mean": m["mean"], "std": m["std"], "min": m["min"], "max": m["max"],
-              "25%": qs[0.25], "50%": qs[0.5], "75%": qs[0.75]}
-    return df.sparkSession.createDataFrame(
-        [(i, name, None if values[name] is None else float(values[name])) for i, name in enumerate(STATS)],
-        "ord int, stat string, value double")
+
+    plain = {k: F.col(k) for k in ("count", "mean", "std", "min", "max")}
+    if approx:
+        row = vals.agg(*moments, F.percentile_approx("v", probs, accuracy).alias("q"))
+        return long_form(row, plain | {f"{p:.0%}": F.col("q")[k] for k, p in enumerate(probs)})
+    margin = 3.0 / accuracy
+    around = [min(1.0, max(0.0, p + m)) for p in probs for m in (-margin, margin)]
+    summary = vals.agg(*moments, F.percentile_approx("v", around, accuracy).alias("br"))
+    known = summary.select(F.struct("*").alias("s")).scalar()  # one plan wherever it is used, run once
+    quartile = F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))).alias("k")
+    near = (vals.filter("v IS NOT NULL").withColumn("br", known["br"]).select("v", "br", quartile)
+                .select("k", "v", F.get("br", F.col("k") * 2).alias("lo"), F.get("br", F.col("k") * 2 + 1).alias("hi"))
+                .withColumn("side", F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0))
+                .groupBy("k", "side", F.when(F.col("side") == 0, F.col("v")).alias("at"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("first"), F.max("v").alias("last")))
+    order = Window.partitionBy("k").orderBy("side", "at")
+    ranked = near.withColumn("upto", F.sum("n").over(order)).withColumn("count", known["count"])
+    place = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("k") + 1) * (F.col("count") - 1)
+    ranked = ranked.withColumn("place", place)
+
+    def at_rank(rank: Column) -> Column:
+        held = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
+        # Of what lies beside the bracket, the nearest value is known too.
+        return F.max(F.when(held & (rank == F.col("upto") - 1), F.col("last")).when(held & (rank == F.col("upto") - F.col("n")), F.col("first"))
+                     .when(held, F.col("at")))
+
+    low, high, part = F.col("low"), F.col("high"), F.col("place") - F.floor("place")
+    missed = F.raise_error(F.lit("a quartile fell outside its bracket; raise accuracy"))
+    quartiles = (ranked.groupBy("k").agg(F.max("place").alias("place"), at_rank(F.floor("place")).alias("low"), at_rank(F.ceil("place")).alias("high"))
+                       .select("k", F.when(low.isNull() | high.isNull(), missed.cast("double")).when(low == high, low)
+                               .otherwise(low + (high - low) * part).alias("q")))
+    by_k = quartiles.agg(*[F.max(F.when(F.col("k") == k, F.col("q"))).alias(f"{p:.0%}") for k, p in enumerate(probs)])
+    row = by_k.withColumn("s", known)
+    return long_form(row, {k: F.col("s")[k] for k in plain} | {f"{p:.0%}": F.col(f"{p:.0%}") for p in probs})
 
 
 def zone_details(df: DataFrame, side: str = "pickup") -> DataFrame:

@@ -1,9 +1,9 @@
 """Keyed-table operators (R1-R5) and ``apply_changes``.
 
 The single-row REST verbs become set operations on a keyed table: a batch
-of keys or changes is applied with semi/anti/outer joins. Joins are plain
-equi-joins, so the planner picks broadcast (when the measured change batch
-is small, via AQE) or sort-merge, and AQE splits skewed partitions.
+of keys or changes is applied with semi, anti and left joins that have the
+batch on the side that may be broadcast. Where it is not small the planner
+takes a sort-merge join, and AQE splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -28,18 +28,34 @@ def lookup_keys(base: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return base.join(keys.select(key).distinct(), key, "left_semi")
 
 
+def _present(base: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The keys of ``keys`` that ``base`` has. The batch is the right side,
+    so a small one is broadcast and the table is only scanned."""
+    return base.select(key).join(keys.select(key).distinct(), key, "left_semi").distinct()
+
+
+def _one_per_key(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row per key, the greatest by its values."""
+    return rows.groupBy(key).agg(F.max(F.struct(*columns)).alias("_row")).select(key, "_row.*")
+
+
 def insert_new(base: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Append rows whose key is not present yet; existing keys win.
-    Rows of the batch with one key are all kept only if that key is new."""
-    fresh = rows.select(*base.columns).join(base.select(key), key, "left_anti")
-    return base.unionByName(fresh)
+    """Append rows whose key is not present yet; existing keys win. Rows
+    of the batch with one key count as one, the greatest by its values; NULL
+    is a key like any other within the batch and matches none of the table."""
+    new = _one_per_key(rows, key, [c for c in base.columns if c != key])
+    new = new.join(_present(base, new, key), key, "left_anti")
+    return base.unionByName(new.select(*base.columns))
 
 
 def update_matching(base: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Replace the non-key columns of matching keys; never inserts.
-    ``rows`` must hold at most one row per key (see ``latest_changes``)."""
+    """Replace the non-key columns of matching keys; never inserts. Rows
+    of the batch with one key count as one, the greatest by its values (see
+    ``latest_changes`` for the latest by an order column). A batch read from
+    files has a known size and is broadcast when small."""
     value_cols = [c for c in base.columns if c != key]
-    upd = rows.select(key, *[F.col(c).alias(f"_new_{c}") for c in value_cols]).withColumn("_hit", F.lit(True))
+    upd = _one_per_key(rows, key, value_cols).select(
+        key, *[F.col(c).alias(f"_new_{c}") for c in value_cols], F.lit(True).alias("_hit"))
     joined = base.join(upd, key, "left")
     return joined.select(key, *[
         F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in value_cols])
@@ -71,17 +87,15 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str,
     insert: added if the key is new, ignored if it exists;
     update: replaces values if the key exists, ignored otherwise;
     delete: removes the key if present.
-    One aggregation of the batch and one full outer join with the table.
+    One aggregation of the batch; the table is joined with the latest
+    updates and deletes (the batch side is broadcast when small), and the
+    inserts that survive an anti join with the keys present are appended.
     """
     value_cols = [c for c in base.columns if c != key]
     last = latest_changes(changes.select(key, op, order, *value_cols), key, order)
-    chg = last.select(key, F.col(op).alias("_op"),
-                      *[F.col(c).alias(f"_new_{c}") for c in value_cols])
-    b = base.withColumn("_in_base", F.lit(True))
-    j = b.join(chg, key, "full_outer")
-    exists = F.coalesce(F.col("_in_base"), F.lit(False))
-    keep = ((exists & (F.coalesce(F.col("_op"), F.lit("")) != "delete"))
-            | (~exists & (F.col("_op") == "insert")))
-    take_new = ((exists & (F.col("_op") == "update")) | (~exists & (F.col("_op") == "insert")))
-    return j.filter(keep).select(key, *[
-        F.when(take_new, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in value_cols])
+    chg = last.filter(F.col(op).isin("update", "delete")).select(
+        key, F.col(op).alias("_op"), *[F.col(c).alias(f"_new_{c}") for c in value_cols])
+    kept = base.join(chg, key, "left").filter(F.coalesce(F.col("_op"), F.lit("")) != "delete").select(key, *[
+        F.when(F.col("_op") == "update", F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in value_cols])
+    new = last.filter(F.col(op) == "insert").select(key, *value_cols)
+    return kept.unionByName(new.join(_present(base, new, key), key, "left_anti")).select(*base.columns)

@@ -8,8 +8,6 @@ Filters are plain comparisons, so Parquet scans receive them as
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,8 +59,9 @@ def inside_nyc(df: DataFrame) -> DataFrame:
 
 
 def outside_nyc(df: DataFrame) -> DataFrame:
-    """the complement of F9 under three-valued logic; rides with a
-    missing coordinate are in neither set."""
+    """NOT F9 under three-valued logic. A ride with a NULL coordinate is
+    outside when another coordinate already rules it out, and in neither set
+    otherwise; a NaN coordinate lies above every bound, hence outside."""
     return df.filter(~inside_nyc_predicate())
 
 
@@ -73,6 +72,20 @@ def extent_clip(df: DataFrame, bb, side: str = "pickup") -> DataFrame:
               .select("key", F.col(lon).alias("longitude"), F.col(lat).alias("latitude")))
 
 
+def box_sql(bb, side: str = "pickup") -> str:
+    """``box_predicate`` as SQL text, for filters on views."""
+    lon, lat = _lonlat(side)
+    return f"{lon} BETWEEN {bb[0]!r}D AND {bb[1]!r}D AND {lat} BETWEEN {bb[2]!r}D AND {bb[3]!r}D"
+
+
+def area_sql(area: str) -> str:
+    """A named zone, ``inside`` or ``outside`` New York, as SQL text."""
+    if area in ("inside", "outside"):
+        inside = f"({box_sql(INSIDE_NYC_PICKUP)} AND {box_sql(INSIDE_NYC_DROPOFF, 'dropoff')})"
+        return inside if area == "inside" else f"NOT {inside}"
+    return box_sql(zone_box(area))
+
+
 def zones_frame(spark: SparkSession) -> DataFrame:
     """The zone dimension as a DataFrame (5 rows)."""
     rows = [(z, *bb) for z, bb in ZONES.items()]
@@ -98,39 +111,33 @@ def tag_zones(df: DataFrame, side: str = "pickup", keep_untagged: bool = False)
     return df.withColumn("zone", explode(zone_names(side)))
 
 
-def tag_zones_with(df: DataFrame, zones: DataFrame, side: str = "pickup",
-                   broadcast_max_rows: int = 10_000, cell_deg: float = 0.01) -> DataFrame:
-    """F7 against an arbitrary zone table (zone, lon_min, lon_max, lat_min, lat_max).
+def _cell(x: Column, level: Column) -> Column:
+    return F.floor(x.cast("double") / F.pow(F.lit(2.0), level)).cast("long")
+
+
+def tag_zones_with(df: DataFrame, zones: DataFrame, side: str = "pickup") -> DataFrame:
+    """F7 against any zone table (zone, lon_min, lon_max, lat_min, lat_max).
 
-    The zone table's row count is checked first. Up to ``broadcast_max_rows``
-    it is broadcast and matched by range (broadcast nested loop, no shuffle of
-    the rides). Beyond that both sides are bucketed on a ``cell_deg`` grid and
-    equi-joined on the cell, then the exact box test is applied, so no pair
-    outside a shared cell is ever formed.
+    Every box gets the grid whose cells (of 2 ** level degrees) are just not
+    smaller than itself, so it covers at most two cells by two, however wide
+    it is. Rides are laid on the grids that some box uses (a few dozen levels
+    at most, one array from a scalar subquery) and joined on the cell; the
+    exact box test decides. A zone table small enough is broadcast by the
+    planner; otherwise the join is shuffled and AQE splits crowded cells.
     """
     lon, lat = _lonlat(side)
-    z = zones.select("zone", "lon_min", "lon_max", "lat_min", "lat_max")
-    n_zones = z.count()
-    if n_zones <= broadcast_max_rows:
-        cond = (F.col(lon).between(F.col("z.lon_min"), F.col("z.lon_max"))
-                & F.col(lat).between(F.col("z.lat_min"), F.col("z.lat_max")))
-        return (df.join(F.broadcast(z.alias("z")), cond, "inner")
-                  .drop("lon_min", "lon_max", "lat_min", "lat_max"))
-    cell = F.lit(cell_deg)
-    z_cells = (z.withColumn("cx", F.explode(F.sequence(F.floor(F.col("lon_min") / cell),
-                                                       F.floor(F.col("lon_max") / cell))))
-                .withColumn("cy", F.explode(F.sequence(F.floor(F.col("lat_min") / cell),
-                                                       F.floor(F.col("lat_max") / cell)))))
-    r = (df.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()
-                   & ~F.isnan(lon) & ~F.isnan(lat))
-           .withColumn("cx", F.floor(F.col(lon) / cell))
-           .withColumn("cy", F.floor(F.col(lat) / cell)))
-    joined = r.join(z_cells, ["cx", "cy"], "inner")
+    # Bounds beyond any coordinate stand for infinite ones.
+    held = lambda c: F.greatest(F.lit(-1e6), F.least(F.lit(1e6), F.col(c).cast("double")))
+    z = zones.select("zone", "lon_min", "lon_max", "lat_min", "lat_max").filter("lon_min <= lon_max AND lat_min <= lat_max")
+    width = F.greatest(held("lon_max") - held("lon_min"), held("lat_max") - held("lat_min"), F.lit(2.0 ** -20))
+    z = z.withColumn("_level", F.ceil(F.log2(width)).cast("int"))
+    cells = (z.withColumn("_cx", F.explode(F.sequence(_cell(held("lon_min"), F.col("_level")), _cell(held("lon_max"), F.col("_level")))))
+              .withColumn("_cy", F.explode(F.sequence(_cell(held("lat_min"), F.col("_level")), _cell(held("lat_max"), F.col("_level"))))))
+    levels = z.agg(F.collect_set("_level").alias("l")).scalar()
+    known = F.col(lon).isNotNull() & F.col(lat).isNotNull() & ~F.isnan(lon) & ~F.isnan(lat)
+    r = df.filter(known).withColumn("_level", F.explode(levels))
+    r = r.withColumn("_cx", _cell(F.col(lon), F.col("_level"))).withColumn("_cy", _cell(F.col(lat), F.col("_level")))
     exact = (F.col(lon).between(F.col("lon_min"), F.col("lon_max"))
              & F.col(lat).between(F.col("lat_min"), F.col("lat_max")))
-    return joined.filter(exact).drop("cx", "cy", "lon_min", "lon_max", "lat_min", "lat_max")
-
-
-def union_of_zone_filters(df: DataFrame, side: str = "pickup") -> Column:
-    """True when the ride end lies in at least one built-in zone."""
-    return reduce(lambda a, b: a | b, [box_predicate(bb, side) for bb in ZONES.values()])
+    return (r.join(cells, ["_level", "_cx", "_cy"]).filter(exact)
+             .drop("_level", "_cx", "_cy", "lon_min", "lon_max", "lat_min", "lat_max"))

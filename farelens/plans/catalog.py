@@ -8,7 +8,6 @@ both sides so results compare by value.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,11 +22,11 @@ from ..operators import aggregates as agg
 from ..operators import changes as chg
 from ..operators.clean import (clean_rides, cleaning_report, drop_missing, drop_zeros, fare_floor,
                                nyc_box_clean, swap_repair)
-from ..operators.zones import (box_filter, extent_clip, inside_nyc, outside_nyc, tag_zones, tag_zones_with,
+from ..operators.zones import (area_sql, box_filter, extent_clip, inside_nyc, outside_nyc, tag_zones, tag_zones_with,
                                zone_rides, zones_frame)
 from ..session import scratch_path
-from ..sources.fixtures import derived, load_rides, read_table
-from ..sources.rides import (RIDE_COLUMNS, cap_rows, count_rows, drop_columns, preview_rows, project,
+from ..sources.fixtures import load_rides, read_table
+from ..sources.rides import (RIDE_COLUMNS, cap_rows, cap_rows_spread, count_rows, drop_columns, preview_rows, project,
                              read_rides_csv, register_view, subset_rows, write_rides_csv)
 from ..streaming import rides_stream as rs
 from . import plotsets as ps
@@ -56,11 +55,11 @@ def rides(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return derived(spark, ("cleaned", os.path.abspath(sf)), lambda: clean_rides(rides(spark, sf)))
+    return clean_rides(rides(spark, sf))
 
 
 def cleaned_dist(spark: SparkSession, sf: str) -> DataFrame:
-    return derived(spark, ("cleaned_dist", os.path.abspath(sf)), lambda: with_distance(cleaned(spark, sf)))
+    return with_distance(cleaned(spark, sf))
 
 
 W_RIDES = q.with_(q.RIDES)
@@ -86,6 +85,15 @@ def cap_rides(spark, sf):
     return cap_rows(rides(spark, sf), 400)
 
 
+CAP_SHARE = 5_000
+
+
+@register("cap_rides_spread", W_RIDES + f"SELECT * FROM rides ORDER BY key LIMIT {CAP_SHARE}")
+def cap_rides_spread(spark, sf):
+    """A cap that no task gathers; half of the rides at scale factor 0.01."""
+    return cap_rows_spread(rides(spark, sf), CAP_SHARE)
+
+
 @register("subset_400", W_RIDES + "SELECT * EXCLUDE (pickup_datetime) FROM rides ORDER BY key LIMIT 400")
 def subset_400(spark, sf):
     return subset_rows(rides(spark, sf), 400)
@@ -115,13 +123,22 @@ def csv_roundtrip(spark, sf):
     return read_rides_csv(spark, path, ntz=True)
 
 
-VIEW_WHERE = ("pickup_longitude between -74.01 and -73.96 and pickup_latitude between 40.62 and 40.70")
+@register("csv_utc_scan", W_RIDES + "SELECT * REPLACE (date_trunc('second', pickup_datetime) AS pickup_datetime) FROM rides")
+def csv_utc_scan(spark, sf):
+    """S1 with ``TimestampType`` over text such as ``2009-06-15 17:26:21 UTC``."""
+    path = scratch_path(spark, "rides-csv-utc")
+    text = F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss 'UTC'")
+    write_rides_csv(rides(spark, sf).withColumn("pickup_datetime", text), path)
+    back = read_rides_csv(spark, path)
+    # As wall-clock time at UTC, whatever the session's zone.
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("pickup_datetime").cast("timestamp_ntz"))
+    return back.withColumn("pickup_datetime", utc)
 
 
 @register("view_sql", W_RIDES + f"SELECT * FROM rides WHERE {q.box(ZONES['brooklyn'])}")
 def view_sql(spark, sf):
     register_view(rides(spark, sf), "rides_view")
-    return spark.sql(f"SELECT * FROM rides_view WHERE {VIEW_WHERE}")
+    return spark.sql(f"SELECT * FROM rides_view WHERE {area_sql('brooklyn')}")
 
 # ---------------------------------------------------------------- cleaning (C)
 
@@ -219,7 +236,7 @@ def q_zone_tags(spark, sf):
 
 @register("zone_tags_join", W_RIDES + "SELECT key, zone FROM (" + q.zone_union("rides", "key") + ")")
 def q_zone_tags_join(spark, sf):
-    """F7 against the zone dimension table (size-checked broadcast range join)."""
+    """F7 against the zone dimension table (join on grid cells of the boxes' own sizes)."""
     return tag_zones_with(rides(spark, sf), zones_frame(spark), "pickup").select("key", "zone")
 
 
@@ -506,6 +523,12 @@ def q_scatter(spark, sf):
     return r6(ps.distance_fare_scatter(cleaned_dist(spark, sf)), "distance_km")
 
 
+@register("distance_fare_scatter_jfk", W_DIST + "SELECT key, round(distance_km, 6) AS distance_km, fare_amount, "
+          f"coalesce(distance_km < 30e0 AND fare_amount < 100e0, false) AS zoomed FROM dist WHERE {q.box(ZONES['jfk'])}")
+def q_scatter_jfk(spark, sf):
+    return r6(ps.distance_fare_scatter(cleaned_dist(spark, sf), "jfk"), "distance_km")
+
+
 def _bundle_sql(bins: int = HIST_BINS) -> str:
     vals = ("vals AS (SELECT zone, CAST(distance_km AS DOUBLE) AS v FROM ("
             + q.zone_union("dist", "distance_km") + ") WHERE distance_km IS NOT NULL AND NOT isnan(distance_km))")
@@ -528,6 +551,17 @@ def q_bundle(spark, sf):
     return r6(ps.distance_bundle(cleaned_dist(spark, sf), HIST_BINS), "bin_lo", "bin_hi")
 
 
+@register("distance_bundle_scatter", W_DIST + "SELECT zone, key, round(distance_km, 6) AS distance_km, fare_amount FROM ("
+          + q.zone_union("dist", "key, distance_km, fare_amount") + ") WHERE distance_km < 30e0 AND fare_amount < 100e0")
+def q_bundle_scatter(spark, sf):
+    return r6(ps.distance_bundle_scatter(cleaned_dist(spark, sf)), "distance_km")
+
+
+@register("distance_bundle_details", _zone_details_sql())
+def q_bundle_details(spark, sf):
+    return r6(ps.distance_bundle_details(cleaned_dist(spark, sf)), "avg_distance_km", "avg_fare", "usd_per_km")
+
+
 @register("fare_vs_passengers", W_RIDES + "SELECT key, passenger_count, fare_amount FROM rides")
 def q_fare_vs_passengers(spark, sf):
     return ps.fare_vs_passengers(rides(spark, sf))
@@ -571,11 +605,19 @@ def q_stream_handover(spark, sf):
     return spark.read.parquet(out).drop("epoch")
 
 
-@register("stream_zone_sql", W_RIDES + f"SELECT * FROM rides WHERE {q.box(ZONES['bronx'])}")
-def q_stream_zone_sql(spark, sf):
-    where = "pickup_longitude between -73.935 and -73.88 and pickup_latitude between 40.79 and 40.89"
-    stream = rs.stream_zone_sql(rs.ride_stream_from_events(spark, sf), where, view="prediction_stream")
-    return spark.read.parquet(rs.run_to_parquet(stream))
+def _stream_zone_query(name: str, area: str, where: str):
+    @register(name, W_RIDES + f"SELECT * FROM rides WHERE {where}")
+    def fn(spark, sf):
+        stream = rs.stream_zone_sql(rs.ride_stream_from_events(spark, sf), area_sql(area), view=f"{name}_view")
+        return spark.read.parquet(rs.run_to_parquet(stream))
+    return fn
+
+
+_stream_zone_query("stream_zone_sql", "bronx", q.box(ZONES["bronx"]))
+for _z in ("jfk", "manhattan", "brooklyn", "staten_island"):
+    _stream_zone_query(f"stream_zone_{_z}", _z, q.box(ZONES[_z]))
+_stream_zone_query("stream_zone_inside", "inside", q.INSIDE_NYC)
+_stream_zone_query("stream_zone_outside", "outside", f"NOT {q.INSIDE_NYC}")
 
 
 @register("stream_clean_features", W_DIST + f"SELECT {CLEAN_COLS}, round(distance_km, 6) AS distance_km, "
@@ -672,7 +714,8 @@ def q_keyed_lookup(spark, sf):
 
 
 @register("insert_new", W_KEYED + "SELECT * FROM base UNION ALL SELECT c.c_custkey, c.c_name, c.c_acctbal "
-          "FROM changes c WHERE c.op = 'insert' AND c.c_custkey NOT IN (SELECT c_custkey FROM base)")
+          "FROM (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY c_name DESC, c_acctbal DESC) AS rn "
+          "FROM changes WHERE op = 'insert') WHERE rn = 1) c WHERE c.c_custkey NOT IN (SELECT c_custkey FROM base)")
 def q_insert_new(spark, sf):
     rows = _changes(spark, sf).filter(F.col("op") == "insert")
     return chg.insert_new(_customers(spark, sf), rows, KEY)

@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import GRID_N_LAT, GRID_N_LON, NYC_BB, NYC_BB_ZOOM, ZONES
+from ..constants import (GRID_N_LAT, GRID_N_LON, NYC_BB, NYC_BB_ZOOM, ZONES, ZOOM_MAX_DISTANCE_KM,
+                         ZOOM_MAX_FARE)
 from ..functions.calendar import SLICES, WEEKDAY_LABELS as WEEKDAYS
 from ..functions.color import fare_color
 from ..functions.geo import zoom_distance_fare
-from ..operators.aggregates import avg_fare_all, density_grid, grouped_histogram
+from ..operators.aggregates import avg_fare_all, density_grid, grouped_histogram, zone_details
 from ..operators.zones import box_predicate, inside_nyc_predicate, tag_zones
 
 AREAS = ("new_york", "brooklyn", "bronx", "manhattan", "jfk")
@@ -93,18 +94,23 @@ def distance_fare_scatter(df: DataFrame, zone: str | None = None) -> DataFrame:
     """Distance vs fare points, flagged when inside the zoom window
     (distance < 30 km and fare < 100). Expects ``distance_km``."""
     src = df.filter(box_predicate(ZONES[zone], "pickup")) if zone else df
-    zoomed = F.coalesce((F.col("distance_km") < 30.0) & (F.col("fare_amount") < 100.0), F.lit(False))
+    zoomed = F.coalesce((F.col("distance_km") < ZOOM_MAX_DISTANCE_KM) & (F.col("fare_amount") < ZOOM_MAX_FARE), F.lit(False))
     return src.select("key", "distance_km", "fare_amount", zoomed.alias("zoomed"))
 
 
-def distance_zoom_points(df: DataFrame) -> DataFrame:
-    """Zoomed panel only."""
-    return zoom_distance_fare(df).select("key", "distance_km", "fare_amount")
-
-
 def distance_bundle(df: DataFrame, bins: int = 50) -> DataFrame:
     """Per pickup zone, the distance histogram with the zone's own bins."""
-    return grouped_histogram(tag_zones(df, "pickup"), "zone", "distance_km", bins)
+    return grouped_histogram(tag_zones(df, "pickup"), "zone", list(ZONES), "distance_km", bins)
+
+
+def distance_bundle_scatter(df: DataFrame) -> DataFrame:
+    """Per pickup zone, the points of the zoomed scatter."""
+    return tag_zones(zoom_distance_fare(df), "pickup").select("zone", "key", "distance_km", "fare_amount")
+
+
+def distance_bundle_details(df: DataFrame) -> DataFrame:
+    """Per pickup zone, the means by passenger count and USD per km."""
+    return zone_details(df, "pickup")
 
 
 SLICE_NAMES = ("midnight", "snow", "rush", "bronx", "brooklyn", "new_york", "manhattan", "jfk")

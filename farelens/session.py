@@ -7,6 +7,8 @@ may go: always under the cluster-wide ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -43,16 +45,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root, setting a local one only when unset.
+    """Return the shared checkpoint root.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is used
-    as is; a machine-local folder is created only when nothing is configured
-    (local tests).
+    ``spark.checkpoint.dir`` (or a checkpoint directory set on the context)
+    names shared storage and is used as is. Only a local session that leaves
+    it unset gets a temporary folder, removed when the process ends; on any
+    other master that would be each machine's own disk, so it is an error.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"set spark.checkpoint.dir to storage that all machines share (master {sc.master})")
         root = tempfile.mkdtemp(prefix="farelens-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root

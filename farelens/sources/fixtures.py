@@ -7,9 +7,6 @@ It derives every ride from every event; nothing is filtered out.
 
 from __future__ import annotations
 
-import os
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Portable derivation; ``{events}`` is a DataFrame parameter in Spark and the
@@ -18,7 +15,7 @@ RIDES_FROM_EVENTS_SQL = """
 SELECT CAST(event_id AS VARCHAR(32)) AS key,
  CAST(CASE WHEN event_id % 53 = 0 THEN -value WHEN event_id % 211 = 0 THEN 5e0
            WHEN event_id % 223 = 0 THEN NULL ELSE value END AS FLOAT) AS fare_amount,
- ts - INTERVAL '1' DAY * ((event_id * 37) % 2190) AS pickup_datetime,
+ CASE WHEN event_id % 227 <> 0 THEN ts - INTERVAL '1' DAY * ((event_id * 37) % 2190) END AS pickup_datetime,
  CAST(CASE WHEN event_id % 97 = 0 THEN 0e0 WHEN event_id % 101 = 0 THEN NULL
            WHEN event_id % 89 = 0 THEN plat ELSE plon END AS FLOAT) AS pickup_longitude,
  CAST(CASE WHEN event_id % 97 = 0 THEN 0e0
@@ -41,34 +38,9 @@ def rides_sql_for_duckdb() -> str:
     return RIDES_FROM_EVENTS_SQL.replace("{events}", "events")
 
 
-# Lazy table handles per session: a DataFrame is only a plan, so reusing it
-# saves the file listing and footer read of every new ``spark.read``. No
-# data is held. ``refresh_tables`` drops the handles (e.g. after new files).
-_HANDLES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def _handles(spark: SparkSession) -> dict:
-    return _HANDLES.setdefault(spark, {})
-
-
-def refresh_tables(spark: SparkSession) -> None:
-    _HANDLES.pop(spark, None)
-
-
-def derived(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """A lazily built plan reused per session (e.g. cleaned rides)."""
-    h = _handles(spark)
-    if key not in h:
-        h[key] = build()
-    return h[key]
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    key = ("table", os.path.abspath(sf_dir), name)
-    h = _handles(spark)
-    if key not in h:
-        h[key] = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return h[key]
+    """A table of the folder; every call lists its files anew."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def rides_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
@@ -77,8 +49,4 @@ def rides_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
 
 
 def load_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = ("rides", os.path.abspath(sf_dir))
-    h = _handles(spark)
-    if key not in h:
-        h[key] = rides_from_events(spark, read_table(spark, sf_dir, "events"))
-    return h[key]
+    return rides_from_events(spark, read_table(spark, sf_dir, "events"))

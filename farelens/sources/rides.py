@@ -7,11 +7,12 @@ reach the scan (``PushedFilters`` / pruned ``ReadSchema`` for Parquet).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import DEFAULT_ROW_CAP
+from ..session import scratch_path
 
 RIDE_SCHEMA = T.StructType([
     T.StructField("key", T.StringType(), True),
@@ -82,9 +83,42 @@ def register_view(df: DataFrame, name: str = "rides") -> DataFrame:
 
 
 def cap_rows(df: DataFrame, n: int = DEFAULT_ROW_CAP, order_by: str | Column = "key") -> DataFrame:
-    """Repeatable row cap. An unordered ``limit`` keeps arbitrary rows;
-    ordering first makes it a top-n (per-partition top-n + one merge)."""
-    return df.orderBy(order_by).limit(n)
+    """Repeatable row cap for a few rows, in one lazy top-n (every task
+    keeps n rows and one task merges them). Ties go by the whole row's hash.
+    For caps of millions see ``cap_rows_spread``."""
+    order = F.col(order_by) if isinstance(order_by, str) else order_by
+    return df.orderBy(order, F.xxhash64(*df.columns)).limit(n)
+
+
+def cap_rows_spread(df: DataFrame, n: int, order_by: str = "key") -> DataFrame:
+    """S6 for any n: the rows of ``cap_rows``, gathered in no single task.
+
+    The rows' orders (key, then the whole row's hash) are range-partitioned
+    and written down. From the partitions' counts follows the partition that
+    the cap falls into; ranks are counted in that one alone, and the order at
+    the cap (one row) turns the cap into a filter on the table. Of rows alike
+    at the cap as many stay as fit.
+    """
+    spark = df.sparkSession
+    order = F.struct(F.col(order_by).alias("k"), F.xxhash64(*df.columns).alias("h"))
+    held = df.select(order.alias("o")).repartitionByRange("o").withColumn("part", F.spark_partition_id())
+    path = scratch_path(spark, "cap")
+    held.write.parquet(path)
+    held = spark.read.schema(held.schema).parquet(path)
+    # One row per partition of the shuffle.
+    sizes = held.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    cut = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).filter(
+        (F.col("before") < n) & (F.col("before") + F.col("n") >= n)).first()
+    if cut is None:  # the table has fewer rows (or none are asked for)
+        return df if n > 0 else df.limit(0)
+    ranks = Window.orderBy("o")
+    last = (held.filter(F.col("part") == cut["part"])
+                .withColumn("row", F.row_number().over(ranks)).withColumn("alike", F.rank().over(ranks))
+                .filter(F.col("row") == n - cut["before"]).first())
+    at = F.struct(F.lit(last["o"]["k"]).cast(df.schema[order_by].dataType).alias("k"), F.lit(last["o"]["h"]).cast("long").alias("h"))
+    fit = last["row"] - last["alike"] + 1
+    return df.filter(order < at).unionByName(df.filter(order == at).limit(fit))
 
 
 def subset_rows(df: DataFrame, n: int = DEFAULT_ROW_CAP, order_by: str = "key") -> DataFrame:

@@ -72,6 +72,7 @@ def handover_batches(stream: DataFrame, out: str | None = None, checkpoint: str
 
     Each epoch is written to ``<out>/epoch=<id>`` with overwrite, so a retried
     epoch replaces its own files; readers see every batch, not the last one.
+    A source that has nothing to read leaves an empty ``epoch=-1``.
     """
     spark = stream.sparkSession
     out = out or scratch_path(spark, "handover")
@@ -80,13 +81,15 @@ def handover_batches(stream: DataFrame, out: str | None = None, checkpoint: str
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
 
+    # There first, so that a reader never meets a folder without a schema.
+    spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{out}/epoch=-1")
     q = (stream.writeStream.foreachBatch(write_epoch)
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _await(q)
     return out
 
 
-def stream_zone_sql(stream: DataFrame, where: str, view: str = "prediction") -> DataFrame:
+def stream_zone_sql(stream: DataFrame, where: str, view: str = "rides_stream") -> DataFrame:
     """Register the stream as a view and filter it by SQL; the result
     is itself a stream."""
     stream.createOrReplaceTempView(view)
@@ -99,19 +102,29 @@ def stream_clean_features(stream: DataFrame) -> DataFrame:
 
 
 def _complete_to_parquet(agg: DataFrame, out: str | None, checkpoint: str | None, purpose: str) -> str:
-    """Run a complete-mode aggregation to the end of the available input;
-    every epoch overwrites ``out`` with the full current result."""
+    """Run a complete-mode aggregation to the end of the available input and
+    return the folder of its newest result.
+
+    Every epoch writes the full current result to a folder of its own,
+    ``<out>/epoch=<id>``, and a result counts only once its write has
+    finished: a crash or a reader at that moment still has the one before. A
+    source that has nothing to read leaves the empty ``epoch=-1``.
+    """
     spark = agg.sparkSession
     out = out or scratch_path(spark, purpose)
     checkpoint = checkpoint or scratch_path(spark, purpose + "-ckpt")
 
+    newest = [f"{out}/epoch=-1"]
+    spark.createDataFrame([], agg.schema).write.mode("overwrite").parquet(newest[0])
+
     def write_latest(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
+        newest[0] = f"{out}/epoch={epoch_id}"
 
     q = (agg.writeStream.outputMode("complete").foreachBatch(write_latest)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _await(q)
-    return out
+    return newest[0]
 
 
 def stream_avg_fare_all(stream: DataFrame, out: str | None = None, checkpoint: str | None = None) -> str:
@@ -125,7 +138,7 @@ def stream_avg_fare(stream: DataFrame, dim: str, out: str | None = None,
     """T5: running average fare per calendar bucket.
 
     Complete mode keeps one state row per bucket (24 hours, 12 months, ...);
-    each epoch overwrites the result table with the full current answer.
+    each epoch publishes the full current answer in a folder of its own.
     """
     agg = stream.groupBy(dim).agg(F.avg("fare_amount").alias("avg_fare"))
     return _complete_to_parquet(agg, out, checkpoint, "avg-fare")

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -12,7 +13,6 @@ from farelens.constants import NYC_BB, grid_constants
 from farelens.functions.geo import with_distance
 from farelens.operators import aggregates as agg
 from farelens.operators.clean import clean_rides, cleaning_report
-from farelens.operators.quantiles import exact_quantiles
 from farelens.sources.fixtures import load_rides
 from farelens.sources.rides import RIDE_SCHEMA
 
@@ -59,7 +59,7 @@ def test_grouped_histogram_matches_per_group(spark):
     rnd = random.Random(7)
     data = [("a", rnd.uniform(0, 5)) for _ in range(500)] + [("b", 2.0)] * 10 + [("c", float("nan"))]
     df = spark.createDataFrame(data, "zone string, distance_km double")
-    got = agg.grouped_histogram(df, "zone", bins=5).collect()
+    got = agg.grouped_histogram(df, "zone", ["a", "b", "c", "absent"], bins=5).collect()
     by = {}
     for r in got:
         by.setdefault(r["zone"], []).append((r["bin"], r["cnt"]))
@@ -88,22 +88,57 @@ def test_density_grid_matches_digitize(spark):
     assert one["density"] == pytest.approx(one["cnt"] / (0.7186918074 * 0.7227670232), rel=1e-9)
 
 
-def test_quantiles_match_numpy_with_hot_value(spark):
-    rnd = random.Random(3)
-    vals = [rnd.lognormvariate(1, 1) for _ in range(4000)] + [2.0] * 2000 + [float("nan"), None]
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    clean = [v for v in vals if v is not None and not math.isnan(v)]
-    probs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
-    # tiny buckets/small force several refinement rounds
-    n, got = exact_quantiles(df, "v", probs, buckets=8, small=16)
-    assert n == len(clean)
-    for p in probs:
-        assert got[p] == pytest.approx(float(np.percentile(clean, p * 100)), rel=1e-12, abs=1e-12)
-
-
-def test_quantiles_empty(spark):
-    df = spark.createDataFrame([(None,)], "v double")
-    assert exact_quantiles(df, "v", [0.5]) == (0, {0.5: None})
+def _described(spark, vals, **how):
+    df = spark.createDataFrame([(v,) for v in vals], "distance_km double").repartition(4)
+    return {r["stat"]: r["value"] for r in agg.describe_distance(df, **how).collect()}
+
+
+CASES = {
+    "hot value": lambda r: [r.lognormvariate(1, 1) for _ in range(4000)] + [2.0] * 2000 + [float("nan"), None],
+    "heavy tail": lambda r: [r.paretovariate(1.1) for _ in range(20000)] + [1e6],
+    "infinity": lambda r: [r.random() for _ in range(200)] + [math.inf],
+    "mostly infinite": lambda r: [r.random() for _ in range(50)] + [math.inf] * 100,
+    "all alike": lambda r: [3.5] * 1000,
+    "two": lambda r: [1.0, 2.0],
+    "one": lambda r: [7.0],
+}
+
+
+@pytest.mark.parametrize("accuracy", [50, 10_000])
+@pytest.mark.parametrize("case", sorted(CASES))
+def test_quartiles_match_numpy(spark, case, accuracy):
+    vals = CASES[case](random.Random(3))
+    got = _described(spark, vals, accuracy=accuracy)
+    clean = sorted(v for v in vals if v is not None and not math.isnan(v))
+    assert got["count"] == len(clean)
+    for p in (25, 50, 75):
+        place = (len(clean) - 1) * p / 100
+        low, high = clean[math.floor(place)], clean[math.ceil(place)]
+        want = low if low == high else low + (high - low) * (place - math.floor(place))
+        assert got[f"{p}%"] == pytest.approx(want, rel=1e-12)
+
+
+def test_describe_is_one_lazy_plan(spark):
+    sc = spark.sparkContext
+    df = with_distance(clean_rides(load_rides(spark, SF0001)))
+    sc.setJobGroup("describe-plan", "nothing should run here")
+    try:
+        agg.describe_distance(df)
+        assert not sc.statusTracker().getJobIdsForGroup("describe-plan")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_grouped_histogram_has_no_join_and_no_exchange_on_the_group(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        df = spark.createDataFrame([("a", 1.0), ("b", 2.0)] * 50, "zone string, distance_km double")
+        plan = agg.grouped_histogram(df, "zone", ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Join" not in plan
+    assert all(re.search(r"bin#", x) for x in re.findall(r"hashpartitioning\(([^)]*)\)", plan)), plan
 
 
 def test_describe_distance(spark):
@@ -156,24 +191,3 @@ def test_mean_by_passengers_skips_nan(spark):
 def test_usd_per_km_zero_distance(spark):
     df = spark.createDataFrame([(5.0, 0.0)], "fare_amount double, distance_km double")
     assert agg.usd_per_km(df).first()["usd_per_km"] is None
-
-
-def test_quantiles_with_bad_brackets_fall_back(spark):
-    rnd = random.Random(11)
-    vals = [rnd.expovariate(0.3) for _ in range(3000)]
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    probs = [0.25, 0.5, 0.75]
-    wrong = [100.0, 200.0] * 3  # brackets that cannot hold the ranks
-    n, got = exact_quantiles(df, "v", probs, buckets=16, small=8, stats=(3000, min(vals), max(vals), wrong))
-    for p in probs:
-        assert got[p] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-12)
-
-
-def test_quantiles_heavy_tail(spark):
-    rnd = random.Random(5)
-    vals = [rnd.paretovariate(1.1) for _ in range(20000)] + [1e6]
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    probs = [0.1, 0.5, 0.99]
-    _, got = exact_quantiles(df, "v", probs, small=64)
-    for p in probs:
-        assert got[p] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-12)

@@ -30,6 +30,29 @@ def test_update_never_inserts(spark):
     assert _rows(chg.update_matching(_base(spark), rows, "id")) == [(1, "a", 1.0), (2, "B", 20.0), (3, "c", 3.0)]
 
 
+def test_batches_that_repeat_keys_and_hold_null(spark):
+    rows = spark.createDataFrame([(4, "d", 4.0), (4, "e", 5.0), (2, "B", 1.0), (2, "C", 0.0), (None, "n", 0.0), (None, "m", 9.0)], SCHEMA)
+    assert _rows(chg.insert_new(_base(spark), rows, "id").filter("id IS NOT NULL")) == BASE + [(4, "e", 5.0)]
+    assert [tuple(r) for r in chg.insert_new(_base(spark), rows, "id").filter("id IS NULL").collect()] == [(None, "n", 0.0)]
+    assert _rows(chg.update_matching(_base(spark), rows, "id")) == [(1, "a", 1.0), (2, "C", 0.0), (3, "c", 3.0)]
+    changes = spark.createDataFrame([(None, "n", 1.0, "delete", 1), (None, "n", 1.0, "insert", 2), (2, "x", 0.0, "update", 1), (2, "y", 0.0, "update", 1)],
+                                    "id bigint, name string, val double, op string, seq int")
+    got = chg.apply_changes(_base(spark), changes, "id")
+    assert _rows(got.filter("id IS NOT NULL")) == [(1, "a", 1.0), (2, "y", 0.0), (3, "c", 3.0)] and got.filter("id IS NULL").count() == 1
+
+
+def test_a_small_batch_leaves_the_table_unshuffled(spark, tmp_path):
+    """No exchange but those of the batch, and no full outer join."""
+    base, batch = str(tmp_path / "base"), str(tmp_path / "batch")
+    spark.range(200_000).selectExpr("id", "cast(id as string) AS name", "rand() AS val").write.parquet(base)
+    spark.createDataFrame([(2, "B", 20.0, "update", 1), (10 ** 9, "z", 7.0, "insert", 1)], f"{SCHEMA}, op string, seq int").write.parquet(batch)
+    table, changes = spark.read.parquet(base), spark.read.parquet(batch)
+    for out in (chg.apply_changes(table, changes, "id"), chg.insert_new(table, changes, "id"), chg.update_matching(table, changes, "id")):
+        assert out.count() in (200_000, 200_001)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "FullOuter" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_apply_changes_latest_wins(spark):
     changes = spark.createDataFrame([
         (1, "A1", 10.0, "update", 1),

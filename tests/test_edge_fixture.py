@@ -129,12 +129,42 @@ def test_swap_repair(edge):
     assert again.exceptAll(fixed.select(*cols)).count() == 0
 
 
-def test_zone_dimension_join_paths(spark, edge):
+def test_zone_dimension_join(spark, edge):
     from farelens.operators.zones import tag_zones_with, zones_frame
     expected = sorted((r["key"], r["zone"]) for r in tag_zones(edge).select("key", "zone").collect())
-    for limit in (10_000, 0):  # broadcast range join, then the grid-bucketed equi-join
-        got = tag_zones_with(edge, zones_frame(spark), "pickup", broadcast_max_rows=limit)
-        assert sorted((r["key"], r["zone"]) for r in got.select("key", "zone").collect()) == expected
+    got = tag_zones_with(edge, zones_frame(spark), "pickup")
+    assert sorted((r["key"], r["zone"]) for r in got.select("key", "zone").collect()) == expected
+
+
+def test_zone_join_wide_boxes_points_and_a_crowded_cell(spark, edge):
+    """Boxes from a point to the whole world against every ride, one by one;
+    most rides stand in one place."""
+    from farelens.operators.zones import tag_zones_with
+    boxes = [("world", -180.0, 180.0, -90.0, 90.0), ("all", float("-inf"), float("inf"), float("-inf"), float("inf")), ("point", 0.5, 0.5, 0.5, 0.5),
+             ("strip", -75.0, -73.0, -90.0, 90.0), ("inverted", 1.0, -1.0, 0.0, 1.0), ("tiny", -73.9801, -73.9799, 40.7499, 40.7501)]
+    zones = spark.createDataFrame(boxes, "zone string, lon_min double, lon_max double, lat_min double, lat_max double")
+    df = edge.unionByName(edge.filter("key = 'e00'").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("n"))
+    want = sorted((r["key"], z) for r in df.collect() for z, a, b, c, d in boxes
+                  if r["pickup_longitude"] is not None and r["pickup_latitude"] is not None
+                  and a <= r["pickup_longitude"] <= b and c <= r["pickup_latitude"] <= d)
+    got = tag_zones_with(df, zones)
+    assert sorted((r["key"], r["zone"]) for r in got.select("key", "zone").collect()) == want
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_calendar_features_of_a_missing_time_are_missing(spark, kind):
+    df = spark.createDataFrame([(None,)], f"pickup_datetime {kind}")
+    assert set(add_calendar_features(df).first()[1:]) == {None}
+
+
+def test_outside_with_missing_coordinates(spark, edge):
+    """A NULL leaves the answer to the other coordinates; NaN is above all."""
+    import conftest
+    rows = [("null, far north", {"plon": None, "plat": 60.0}), ("null, inside", {"plon": None}), ("nan", {"plon": float("nan")})]
+    made = [(k, *[{**conftest.BASE, **d}[c] for c in ("fare", "ts", "plon", "plat", "dlon", "dlat", "pax")]) for k, d in rows]
+    df = spark.createDataFrame(made, edge.schema)
+    assert keys(outside_nyc(df)) == ["nan", "null, far north"] and keys(inside_nyc(df)) == []
 
 
 def test_calendar_features_ignore_session_zone_for_ntz(spark):

@@ -14,10 +14,10 @@ from farelens.functions.calendar import snow_season_rides
 from farelens.sources.fixtures import load_rides
 
 EXPECTED = {
-    SF0001: dict(rows=1000, floor=937, five=4, snow=161, swapped=11,
+    SF0001: dict(rows=1000, floor=937, five=4, snow=156, swapped=11,
                  pickup=(9, 55, 17, 22, 44), dropoff=(6, 59, 15, 17, 53), cells=(645, 3),
                  dist=168037.051495),
-    SF001: dict(rows=10000, floor=9294, five=50, snow=1615, swapped=109,
+    SF001: dict(rows=10000, floor=9294, five=50, snow=1614, swapped=109,
                 pickup=(97, 533, 162, 225, 460), dropoff=(67, 564, 161, 227, 495), cells=(1927, 9),
                 dist=1687114.905667),
 }
