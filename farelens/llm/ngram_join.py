@@ -16,8 +16,9 @@
    already join are never looked at, and a list yields at most a spanning
    forest of its candidates, the most similar first. Each candidate is then
    verified on the whole sets. What was refuted is told to the lists, and
-   they are read again until no list yields anything: every pair has then
-   been ruled out, verified, or joined by links that were.
+   they are read again, each time with more candidates allowed between two
+   components, until no list yields anything: every pair has then been ruled
+   out, verified, or joined by links that were.
 
 Lists longer than a block are dealt out as pairs of blocks, each to its own
 group, so that no task holds a whole list; counts are summed up before they
@@ -33,6 +34,7 @@ time and memory in proportion to their own length only.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -52,6 +54,8 @@ SHARE = 0.15
 LEAST_BITS, MOST_BITS = 256, 4096
 #: Entries of a list that one task's group holds, and of a block in it.
 LIST_BLOCK, BLOCK = 768, 128
+#: Lists so short are answered whole, many at once.
+SHORT = 6
 #: Words whose hash a worker remembers.
 REMEMBERED = 1_000_000
 
@@ -146,9 +150,10 @@ def _folded(rows: np.ndarray, words: int) -> np.ndarray:
     return rows
 
 
-def _candidates(v, n, pos, comp, side, sketch, refuted) -> list[tuple[int, int]]:
-    """Spanning forest of the pairs of one list (or of two blocks of one,
-    ``side`` 0 and 1) that may link and are not joined yet."""
+def _candidates(v, n, pos, comp, side, sketch, refuted, allowed) -> list[tuple[int, int]]:
+    """Pairs of one list (or of two blocks of one, ``side`` 0 and 1) that may
+    link and are not joined yet: the most similar first, ``allowed`` between
+    two components before they count as joined, so a spanning forest at 1."""
     order = np.lexsort((pos, n))
     v, n, pos, comp, side = (x[order] for x in (v, n, pos, comp, side))
     sketch = [np.frombuffer(sketch[i], np.uint64)[None, :] for i in order]
@@ -193,46 +198,74 @@ def _candidates(v, n, pos, comp, side, sketch, refuted) -> list[tuple[int, int]]
         return x
 
     forest, left = [], len(set(comp.tolist())) - 1
+    between: Counter = Counter()
     for p, q, a, b in zip(comp[i[order]].tolist(), comp[j[order]].tolist(), low[order].tolist(), high[order].tolist(), strict=True):
         if not left:
             break
         if (p := find(p)) != (q := find(q)) and (a, b) not in refuted:
-            root[p] = q
-            left -= 1
             forest.append((a, b))
+            between[key := (min(p, q), max(p, q))] += 1
+            if between[key] >= allowed:
+                root[p] = q
+                left -= 1
     return forest
 
 
-def _read_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (member, i, j); a group may go on in the next batch."""
-    held: list[pa.RecordBatch] = []
-    key = None
-
-    def answered() -> Iterator[pa.RecordBatch]:
-        if not held:
-            return
-        t = pa.Table.from_batches(held)
-        if t.num_rows < 2:
-            return
-        column = {c: t.column(c).to_numpy() for c in ("v", "n", "pos", "comp", "side")}
+def _small(t: pa.Table, column: dict, at: np.ndarray, size: np.ndarray, refuted) -> Iterator[tuple[int, int]]:
+    """All pairs that may link in the short lists that start ``at``."""
+    sketch = t.column("parity")
+    v, n, pos, comp = (column[c] for c in ("v", "n", "pos", "comp"))
+    room = n - pos
+    for i in range(SHORT - 1):
+        for j in range(i + 1, SHORT):
+            x = at[size > j] + i
+            y = x - i + j
+            total = n[x] + n[y]
+            may = (10 * np.minimum(n[x], n[y]) >= 9 * np.maximum(n[x], n[y])) & (19 * np.minimum(room[x], room[y]) >= 9 * total) & (comp[x] != comp[y])
+            for p, q in zip(x[may].tolist(), y[may].tolist(), strict=True):
+                left, right = (np.frombuffer(sketch[k].as_py(), np.uint64)[None, :] for k in (p, q))
+                words = min(left.shape[1], right.shape[1])
+                if 19 * int(np.bitwise_count(_folded(left, words) ^ _folded(right, words)).sum()) <= n[p] + n[q]:
+                    pair = (min(v[p], v[q]), max(v[p], v[q]))
+                    if pair not in refuted:
+                        yield pair
+
+
+def _reader(allowed: int):
+    """Rows come sorted by (member, i, j); a list may go on in the next batch."""
+    def answered(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        t = t.combine_chunks()
+        column = {c: t.column(c).to_numpy() for c in ("member", "i", "j", "v", "n", "pos", "comp", "side")}
+        keys = [column[c] for c in ("member", "i", "j")]
+        new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+        at = np.nonzero(new)[0]
+        size = np.diff(np.append(at, t.num_rows))
         refuted = {(min(a, b), max(a, b)) for a, bs in zip(column["v"].tolist(), t.column("refuted").to_pylist(), strict=True) for b in bs or ()}
-        got = _candidates(*(column[c] for c in ("v", "n", "pos", "comp", "side")), t.column("parity").to_pylist(), refuted)
+        short = (size > 1) & (size <= SHORT) & (column["i"][at] == column["j"][at])
+        got = set(_small(t, column, at[short], size[short], refuted))
+        for a, k in zip(at[(size > 1) & ~short].tolist(), size[(size > 1) & ~short].tolist(), strict=True):
+            got.update(_candidates(*(column[c][a:a + k] for c in ("v", "n", "pos", "comp", "side")),
+                                   t.column("parity").slice(a, k).to_pylist(), refuted, allowed))
         if got:
-            a, b = zip(*got, strict=True)
+            a, b = zip(*sorted(got), strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(c).to_numpy() for c in ("member", "i", "j")], 1)
-        cuts = [0, *(np.nonzero((keys[1:] != keys[:-1]).any(1))[0] + 1).tolist(), batch.num_rows]
-        for at, end in zip(cuts, cuts[1:], strict=False):
-            if key is not None and key != (now := tuple(keys[at])):
-                yield from answered()
-                held = []
-            key = tuple(keys[at])
-            held.append(batch.slice(at, end - at))
-    yield from answered()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            last = [t.column(c)[-1].as_py() for c in ("member", "i", "j")]
+            same = np.all([t.column(c).to_numpy() == x for c, x in zip(("member", "i", "j"), last, strict=True)], axis=0)
+            start = int(np.argmax(same))
+            if start:
+                yield from answered(t.slice(0, start))
+            held = t.slice(start)
+        if held is not None:
+            yield from answered(held)
+
+    return run
 
 
 def _index(held: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -275,31 +308,37 @@ def link(docs: DataFrame) -> DataFrame:
     several = several.join(vertices.select("n", "s1", "s2", "v"), ["n", "s1", "s2"])
     links = stored(several.join(several.groupBy("doc_id").agg(F.min("v").alias("a")), "doc_id")
                    .select("a", F.col("v").alias("b")).filter("a <> b").distinct(), "links")
-    joined, refuted, sets = components(links), None, None
+    joined, refuted, sets, allowed = None, None, None, 1
     while True:
-        lists = index.join(joined.withColumnRenamed("component", "c"), "v", "left").withColumn("comp", F.coalesce("c", "v")).drop("c")
-        if refuted is not None:
-            both = refuted.union(refuted.select("b", "a")).toDF("v", "w")
-            lists = lists.join(both.groupBy("v").agg(F.collect_list("w").alias("refuted")), "v", "left")
+        if joined is None:
+            lists = index.withColumn("comp", F.col("v")).withColumn("refuted", F.expr("CAST(NULL AS array<long>)"))
         else:
-            lists = lists.withColumn("refuted", F.expr("CAST(NULL AS array<long>)"))
+            # A set that no list yielded at first is in no candidate pair.
+            both = refuted.union(refuted.select("b", "a")).toDF("v", "w")
+            lists = (index.join(sets.select("v"), "v", "left_semi").join(joined, "v", "left").withColumn("comp", F.coalesce("component", "v"))
+                     .drop("component").join(both.groupBy("v").agg(F.collect_list("w").alias("refuted")), "v", "left"))
         grouped = lists.repartition(width(spark), "member", "i", "j").sortWithinPartitions("member", "i", "j")
-        pairs = stored(grouped.mapInArrow(_read_lists, "a long, b long").distinct(), "pairs")
+        pairs = stored(grouped.mapInArrow(_reader(allowed), "a long, b long").distinct(), "pairs")
         if pairs.isEmpty():
+            if joined is None:
+                joined = components(links)
             break
-        if sets is None:  # whoever is in a candidate pair later is in one now
+        if sets is None:
             ends = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
             wanted = stored(vertices.join(ends, "v").select("v", F.col("least").alias("doc_id"), "s1", "s2"), "wanted")
             sets = stored(docs.join(wanted, "doc_id").select("v", "text", "s1", "s2").mapInArrow(_whole, "v long, members array<long>")
                           .dropDuplicates(["v"]), "members")
         x, y = sets.toDF("a", "x"), sets.toDF("b", "y")
-        both = pairs.join(x, "a").join(y, "b")
         shared = F.size(F.array_intersect("x", "y"))
-        judged = stored(both.select("a", "b", (100 * shared >= 90 * (F.size("x") + F.size("y") - shared)).alias("linked")), "judged")
+        judged = stored(pairs.join(x, "a").join(y, "b").select(
+            "a", "b", (100 * shared >= 90 * (F.size("x") + F.size("y") - shared)).alias("linked")), "judged")
         wrong = judged.filter("NOT linked").select("a", "b")
         refuted = wrong if refuted is None else stored(refuted.union(wrong), "refuted")
         links = links.union(judged.filter("linked").select("a", "b"))
         joined = stored(components(links), "joined")
+        # The fewer pairs are left, the more each list may yield: the number
+        # of rounds grows with the logarithm of what is refuted.
+        allowed *= 16
     member = vertices.join(joined, "v", "left").withColumn("component", F.coalesce("component", "v"))
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
     named = member.join(least, "component").select("n", "s1", "s2", "component_id")
