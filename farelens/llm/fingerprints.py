@@ -91,18 +91,23 @@ def compare_with_next(docs: DataFrame, share: int = 4, fraction: float = FRACTIO
     """Per row of ``docs`` (doc_id, text): n_chars, ``edited`` (the last
     1/share of the characters replaced by as many first ones of the next
     document), the fingerprints of both, and of the next document."""
-    plain = docs.select("doc_id", text_or_empty("text").alias("text"))
+    # The id without nulls, in two columns, and the text: every step below is
+    # partitioned by the former and reads just these, so that texts are
+    # shuffled once, in an exchange that serves both sides.
+    kind = docs.schema["doc_id"].dataType
+    key = lambda name: (F.coalesce(F.col(name), F.lit(0).cast(kind)), F.col(name).isNull())
+    named = lambda name, *to: [x.alias(n) for n, x in zip(to, key(name), strict=True)]
+    plain = docs.select(text_or_empty("text").alias("text"), *named("doc_id", "key", "none"))
     cut = F.expr(f"length(text) div {share}")
-    order = stored(next_in_order(plain.groupBy("doc_id").agg(F.max(cut).alias("wanted"))), "order")
-    # The texts are shuffled once, by id; this exchange serves both sides.
-    by_id = plain.join(order.select(F.col("doc_id").alias("of"), "next_id"), F.col("doc_id").eqNullSafe(F.col("of"))).drop("of")
-    before = order.select(F.col("doc_id").alias("before"), F.col("next_id").alias("of"), "wanted")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    giving = plain.join(before, F.col("doc_id").eqNullSafe(F.col("of"))).withColumn("rank", F.row_number().over(first)).filter("rank = 1")
+    wanted = docs.select("doc_id", text_or_empty("text").alias("text")).groupBy("doc_id").agg(F.max(cut).alias("wanted"))
+    order = stored(next_in_order(wanted), "order")
+    before = order.select(*named("next_id", "key", "none"), *named("doc_id", "of", "of_none"), "wanted")
+    first = Window.partitionBy("key", "none").orderBy("text")
+    giving = plain.join(before, ["key", "none"]).withColumn("rank", F.row_number().over(first)).filter("rank = 1")
     giving = with_fingerprint(giving, "text", "next_fingerprint", fraction).select(
-        "before", F.expr("left(text, CAST(wanted AS int))").alias("beginning"), "next_fingerprint")
-    both = by_id.join(giving, F.col("doc_id").eqNullSafe(F.col("before")))
-    both = both.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), F.expr(
+        F.col("of").alias("key"), F.col("of_none").alias("none"), F.expr("left(text, CAST(wanted AS int))").alias("beginning"), "next_fingerprint")
+    both = plain.join(giving, ["key", "none"])
+    both = both.select(F.when(~F.col("none"), F.col("key")).alias("doc_id"), "text", F.length("text").cast("long").alias("n_chars"), F.expr(
         f"concat(left(text, length(text) - CAST(length(text) div {share} AS int)), left(beginning, CAST(length(text) div {share} AS int)))").alias("edited"),
         "next_fingerprint")
     both = with_fingerprint(both, "text", "fingerprint", fraction).drop("text")
