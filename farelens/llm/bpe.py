@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from farelens.llm.common import fresh
+from farelens.llm.common import forget_others, fresh, remembered
 
 #: White space as the vocabulary's pattern means it (the Unicode property).
 _S = r"\t-\r \x85\xa0  -     　"
@@ -67,7 +67,7 @@ class Vocabulary:
         for token, i in self.added.items():
             self.bytes_of[i] = token.encode()
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = remembered({})
 
     def merge(self, raw: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -155,6 +155,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     names = [f.name for f in rest]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(vocabulary(path).known)
         encoder = vocabulary(path).encode
         for b in batches:
             for i in range(0, b.num_rows, 1000):

@@ -40,10 +40,42 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Classes of keys that ``sifted`` tells apart; what it broadcasts has no
+#: more rows (of one number) than this, whatever the input.
+KEY_CLASSES = 1 << 18
+
+
+def sifted(rows: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``column`` may be among ``keys``, and those that surely
+    have none of them, so that a join need only shuffle the former."""
+    kind = fresh(rows, "fl_kind")
+    classes = F.pmod(F.xxhash64(F.col(f"`{column}`")), F.lit(KEY_CLASSES)).cast("int")
+    marked = F.broadcast(keys.select(classes.alias(kind)).distinct())
+    marked_rows, columns = rows.withColumn(kind, classes), [F.col(f"`{c}`") for c in rows.columns]
+    return tuple(marked_rows.join(marked, kind, how).select(*columns) for how in ("left_semi", "left_anti"))
+
+
 def text_or_empty(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+_remembered: list[dict] = []
+
+
+def remembered(cache: dict) -> dict:
+    """Register what a Python worker remembers between batches."""
+    _remembered.append(cache)
+    return cache
+
+
+def forget_others(cache: dict) -> None:
+    """A worker serves one operator after another; its memory is for the one
+    at work."""
+    for other in _remembered:
+        if other is not cache:
+            other.clear()
+
+
 def width(spark: SparkSession) -> int:
     """Partitions of a shuffle, as the session is set up."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

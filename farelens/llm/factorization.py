@@ -11,7 +11,7 @@ time linear in the number of features (the sum-of-squares identity).
 
 Training reads a bounded sample of labelled rows (``max_train_rows``, those
 with the smallest hashed ids): features are made on the executors, and at
-most that many sparse rows reach the driver, which runs mini-batch Adam.
+most that many sparse rows meet in one task, which runs mini-batch Adam.
 Scoring is a map over Arrow batches with the model broadcast; the model has
 a fixed size of (buckets + bins) * (rank + 1) numbers.
 
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farelens.llm.common import fresh
+from farelens.llm.common import forget_others, fresh, remembered
 
 BUCKETS = 1 << 13
 BINS = 12
@@ -56,7 +56,7 @@ class _Buckets(dict):
         return found
 
 
-_buckets = _Buckets()
+_buckets = remembered(_Buckets())
 
 
 def _bin(x: float) -> int:
@@ -105,6 +105,7 @@ class Model:
         return self.bias + np.add.reduceat(self.linear[at] * x, starts) + 0.5 * ((sums * sums).sum(1) - squares)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
+        forget_others(_buckets)
         out = [np.zeros(0)]
         for i in range(0, len(texts), CHUNK):
             rows = [features(t) for t in texts[i:i + CHUNK]]
@@ -118,32 +119,33 @@ def untrained() -> Model:
     return Model(0.0, np.zeros(WIDTH, np.float32), np.zeros((WIDTH, RANK), np.float32))
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 8, step: float = 0.02,
+def train(at: np.ndarray, x: np.ndarray, ends: np.ndarray, labels: np.ndarray, epochs: int = 8, step: float = 0.02,
           decay: float = 1e-4, batch: int = 128, seed: int = 7) -> Model:
     """Mini-batch Adam on the logistic loss, the classes weighted alike at
-    half strength so that the rarer one counts."""
+    half strength so that the rarer one counts. Row i of the sample has the
+    features from ends[i - 1] to ends[i]."""
     if not len(labels) or labels.min() == labels.max():
         return untrained()
     rng = np.random.default_rng(seed)
-    model = untrained()
-    model.factors = rng.normal(0, 0.02, (WIDTH, RANK)).astype(np.float32)
+    begins = np.concatenate([[0], ends[:-1]])
     share = labels.mean()
     weight = np.where(labels == 1, (0.5 / share) ** 0.5, (0.5 / (1 - share)) ** 0.5)
-    params = [np.zeros(1), model.linear.astype(float), model.factors.astype(float)]
+    params = [np.zeros(1), np.zeros(WIDTH), rng.normal(0, 0.02, (WIDTH, RANK))]
     m, v, t = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     for _ in range(epochs):
         for part in np.array_split(order := rng.permutation(len(labels)), max(1, len(order) // batch)):
-            at, x = (np.concatenate(z) for z in zip(*(rows[i] for i in part), strict=True))
-            lengths = np.array([len(rows[i][0]) for i in part])
-            starts = np.cumsum([0, *lengths[:-1]])
+            lengths = ends[part] - begins[part]
+            starts = np.cumsum(lengths) - lengths
+            places = np.repeat(begins[part] - starts, lengths) + np.arange(lengths.sum())
+            at_, x_ = at[places], x[places]
             model = Model(float(params[0][0]), params[1], params[2])
-            vx = model.factors[at] * x[:, None]
+            vx = model.factors[at_] * x_[:, None]
             sums = np.add.reduceat(vx, starts)
-            error = (1 / (1 + np.exp(-np.clip(model.raw(at, x, starts), -30, 30))) - labels[part]) * weight[part] / len(part)
+            error = (1 / (1 + np.exp(-np.clip(model.raw(at_, x_, starts), -30, 30))) - labels[part]) * weight[part] / len(part)
             each = np.repeat(error, lengths)
-            g_linear = np.bincount(at, each * x, WIDTH) + decay * params[1]
-            g_factor = (each * x)[:, None] * (np.repeat(sums, lengths, axis=0) - vx)
-            g_factors = np.stack([np.bincount(at, g_factor[:, f], WIDTH) for f in range(RANK)], 1) + decay * params[2]
+            g_linear = np.bincount(at_, each * x_, WIDTH) + decay * params[1]
+            g_factor = (each * x_)[:, None] * (np.repeat(sums, lengths, axis=0) - vx)
+            g_factors = np.stack([np.bincount(at_, g_factor[:, f], WIDTH) for f in range(RANK)], 1) + decay * params[2]
             t += 1
             for p, g, a, b in zip(params, (np.array([error.sum()]), g_linear, g_factors), m, v, strict=True):
                 a += 0.1 * (g - a)
@@ -160,7 +162,20 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["label", "at", "x"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train_rows: int = 12_000) -> Model:
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row, the model of all rows; none without rows."""
+    found = [b for b in batches if b.num_rows]
+    if not found:
+        return
+    t = pa.Table.from_batches(found).combine_chunks()
+    at, x = (t.column(c).combine_chunks() for c in ("at", "x"))
+    ends = np.cumsum(at.value_lengths().to_numpy()).astype(np.int64)
+    m = train(at.flatten().to_numpy(), x.flatten().to_numpy(), ends, t.column("label").to_numpy().astype(float))
+    yield pa.RecordBatch.from_arrays([pa.array([m.bias], pa.float64()), pa.array([m.linear.astype(np.float32).tobytes()], pa.binary()),
+                                      pa.array([m.factors.astype(np.float32).tobytes()], pa.binary())], names=["bias", "linear", "factors"])
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train_rows: int = 8_000) -> Model:
     """Learn ``label`` (0 or 1) of ``labels`` (doc_id, label) from the texts
     of ``docs``. The caller decides which labels may be seen; of those, at
     most ``max_train_rows`` are used."""
@@ -169,14 +184,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train_ro
              .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_train_rows))
     # At most max_train_rows pairs of numbers: bounded whatever the input.
     seen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("label", "text")
-    # The limit only bites where ids repeat in docs.
+    # The limit only bites where ids repeat in docs. The bounded sample meets
+    # in one task, in the order of the query and so the same on every run.
     made = seen.mapInArrow(_featured, "label int, at array<int>, x array<float>")
-    got = made.orderBy(F.xxhash64("at", "x"), "label").limit(2 * max_train_rows).toArrow()
-    rows = [(np.asarray(a, np.int32), np.asarray(x, np.float32)) for a, x in
-            zip(*(got.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("at", "x")), strict=True)] if got.num_rows else []
-    y = np.asarray(got.column("label").to_pylist(), float)
-    order = sorted(range(len(rows)), key=lambda i: (y[i], len(rows[i][0]), rows[i][0].tobytes()))
-    return train([rows[i] for i in order], y[order] if len(order) else y)
+    sample = made.orderBy(F.xxhash64("at", "x"), "label").limit(2 * max_train_rows).coalesce(1)
+    models = sample.mapInArrow(_trained, "bias double, linear binary, factors binary").collect()
+    if not models:
+        return untrained()
+    got = models[0]
+    return Model(got["bias"], np.frombuffer(got["linear"], np.float32), np.frombuffer(got["factors"], np.float32).reshape(WIDTH, RANK))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", column: str = "score", drop_text: bool = False) -> DataFrame:

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelens.llm.common import DOCUMENTS, fresh, stored, width
+from farelens.llm.common import DOCUMENTS, forget_others, fresh, remembered, sifted, stored, width
 from farelens.llm.components import components
 
 WORDS = 3
@@ -57,7 +57,7 @@ LIST_BLOCK, BLOCK = 768, 128
 #: Lists so short are answered whole, many at once.
 SHORT = 6
 #: Words whose hash a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _BELOW = np.uint64(int(SHARE * 2 ** 64))
@@ -71,7 +71,7 @@ class _Hashes(dict):
         return found
 
 
-_hashes = _Hashes()
+_hashes = remembered(_Hashes())
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -118,6 +118,7 @@ def _signed(members: np.ndarray) -> np.ndarray:
 
 
 def _summarised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget_others(_hashes)
     for b in batches:
         texts = b.column("text")
         for i in range(0, b.num_rows, 512):
@@ -271,9 +272,11 @@ def _reader(allowed: int):
 def _index(held: DataFrame, vertices: DataFrame) -> DataFrame:
     """The lists that two vertices or more stand in: (member, v, n, pos,
     parity, i, j, side)."""
-    rows = held.filter("n > 0").select("row", F.col("n"), F.size("low").alias("lows"), F.explode("low").alias("member"))
+    # The many rows of two numbers; the sizes join what is left of them.
+    rows = held.filter("n > 0").select("row", F.explode("low").alias("member"))
     shared = rows.groupBy("member").agg(F.count("*").alias("df")).filter("df > 1")
-    common = rows.join(shared, "member")
+    sizes = held.select("row", "n", F.size("low").alias("lows"))
+    common = rows.join(shared, "member").join(sizes, "row")
     each = Window.partitionBy("row")
     below = F.col("member").between(-(2 ** 63), -1) | (F.col("member") >= F.lit(int(_BELOW)))  # as unsigned: not in the share
     placed = (common.withColumn("alone", F.col("lows") - F.count("*").over(each))
@@ -313,9 +316,8 @@ def link(docs: DataFrame) -> DataFrame:
         if joined is None:
             lists = index.withColumn("comp", F.col("v")).withColumn("refuted", F.expr("CAST(NULL AS array<long>)"))
         else:
-            # A set that no list yielded at first is in no candidate pair.
             both = refuted.union(refuted.select("b", "a")).toDF("v", "w")
-            lists = (index.join(sets.select("v"), "v", "left_semi").join(joined, "v", "left").withColumn("comp", F.coalesce("component", "v"))
+            lists = (index.join(joined, "v", "left").withColumn("comp", F.coalesce("component", "v"))
                      .drop("component").join(both.groupBy("v").agg(F.collect_list("w").alias("refuted")), "v", "left"))
         grouped = lists.repartition(width(spark), "member", "i", "j").sortWithinPartitions("member", "i", "j")
         pairs = stored(grouped.mapInArrow(_reader(allowed), "a long, b long").distinct(), "pairs")
@@ -326,8 +328,10 @@ def link(docs: DataFrame) -> DataFrame:
         if sets is None:
             ends = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
             wanted = stored(vertices.join(ends, "v").select("v", F.col("least").alias("doc_id"), "s1", "s2"), "wanted")
-            sets = stored(docs.join(wanted, "doc_id").select("v", "text", "s1", "s2").mapInArrow(_whole, "v long, members array<long>")
+            sets = stored(sifted(docs, wanted, "doc_id")[0].join(wanted, "doc_id").select("v", "text", "s1", "s2").mapInArrow(_whole, "v long, members array<long>")
                           .dropDuplicates(["v"]), "members")
+            # A set that no list yielded at first is in no candidate pair.
+            index = stored(sifted(index, ends, "v")[0], "candidates")
         x, y = sets.toDF("a", "x"), sets.toDF("b", "y")
         shared = F.size(F.array_intersect("x", "y"))
         judged = stored(pairs.join(x, "a").join(y, "b").select(
@@ -357,7 +361,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     first, rows, rank = (fresh(docs, n) for n in ("fl_first", "fl_rows", "fl_rank"))
     marks = stored(marks.select("doc_id", F.col("first").alias(first), F.col("rows").alias(rows)), "marks")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    single = docs.join(marks, "doc_id", "left").filter(F.col(first).isNull()).select(*columns)
-    again = docs.join(marks.filter(f"`{first}` = 1"), "doc_id").withColumn(
+    perhaps, surely = sifted(docs, marks, "doc_id")  # the texts of most rows stay where they are
+    single = surely.unionByName(perhaps.join(marks, "doc_id", "left").filter(F.col(first).isNull()).select(*columns))
+    again = perhaps.join(marks.filter(f"`{first}` = 1"), "doc_id").withColumn(
         rank, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("`text`").asc_nulls_first(), *[F.col(f"`{c}`") for c in DOCUMENTS[2:] if c in docs.columns])))
     return single.unionByName(again.filter(f"`{rank}` = 1").select(*columns))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import fresh, stored, text_or_empty
+from farelens.llm.common import fresh, sifted, stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone", "other")
 
@@ -220,10 +220,11 @@ def mask(docs: DataFrame, text: str = "text", length: str | None = "n_chars", ro
     digest = fresh(docs, "fl_digest")
     keyed = docs.withColumn(digest, F.sha2(text_or_empty(text), 256))
     spans = find(keyed.select(digest, F.col(f"`{text}`").alias("text"))).filter(F.size("spans") > 0)
-    spans = spans.groupBy(digest).agg(F.min("spans").alias("fl_spans"))
-    joined = keyed.join(spans, digest, "left").drop(digest)
     names, at = docs.columns, fresh(docs, "fl_spans")
-    joined = joined.toDF(*names, at)
+    spans = stored(spans.groupBy(digest).agg(F.min("spans").alias(at)), "spans")
+    perhaps, surely = sifted(keyed, spans, digest)  # the texts of most rows stay where they are
+    joined = perhaps.join(spans, digest, "left").drop(digest)
+    surely = surely.drop(digest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -235,4 +236,4 @@ def mask(docs: DataFrame, text: str = "text", length: str | None = "n_chars", ro
                 columns[length] = pa.array(lengths, columns[length].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, docs.schema).unionByName(surely)

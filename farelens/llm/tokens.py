@@ -15,6 +15,8 @@ from itertools import chain
 
 from tokenizers import Tokenizer
 
+from farelens.llm.common import forget_others, remembered
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Runs a worker remembers, and the longest it does.
@@ -39,13 +41,14 @@ def packed(ids: Iterable[int]) -> bytes:
 class SpacelessEncoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = load(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = remembered({})
 
     def _ids(self, texts: list[str]) -> Iterator[bytes]:
         return (packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids, packed."""
+        forget_others(self.known)
         runs = [None if any(c in t for c in _UNLIKE) else t.split() for t in texts]
         new = list(set(chain.from_iterable(r for r in runs if r)).difference(self.known))
         if len(self.known) + len(new) > REMEMBERED:

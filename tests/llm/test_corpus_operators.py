@@ -15,7 +15,7 @@ from llm_fixtures import PROSE, SCHEMA, clashing, edge_docs, no_docs, result, te
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from farelens.llm import components, fingerprints, ngram_join, packing
+from farelens.llm import common, components, fingerprints, ngram_join, packing
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 
@@ -230,6 +230,17 @@ def test_pipeline(spark, texts):
     check_packed(corpus_pipeline.STAGES[-1][1](spark, docs, SF0001).collect(), now)
 
 
+@pytest.mark.parametrize("classes", [1, 3, 1 << 18])
+def test_sifting_loses_nothing(spark, classes, monkeypatch):
+    monkeypatch.setattr(common, "KEY_CLASSES", classes)
+    rows, keys = spark.range(200).withColumnRenamed("id", "doc_id"), spark.range(0, 400, 7).withColumnRenamed("id", "doc_id")
+    perhaps, surely = common.sifted(rows, keys, "doc_id")
+    some, none = ({r.doc_id for r in x.collect()} for x in (perhaps, surely))
+    assert some | none == set(range(200)) and not some & none and not none & set(range(0, 400, 7))
+    nothing, everything = common.sifted(rows, keys.limit(0), "doc_id")
+    assert nothing.count() == 0 and everything.count() == 200
+
+
 def test_pipeline_edges(spark, clashing, no_docs):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, clashing, SF0001).columns == clashing.columns
