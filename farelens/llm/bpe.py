@@ -36,7 +36,7 @@ _S = r"\t-\r \x85\xa0  -     　"
 PATTERN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 #: Pre-tokens a worker remembers, and the longest it does.
-REMEMBERED, LONGEST = 500_000, 48
+REMEMBERED, LONGEST = 1_500_000, 48
 _NONE = 1 << 62
 
 
