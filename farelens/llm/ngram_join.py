@@ -4,8 +4,9 @@
    3-word shingles and keeps its size, a 128-bit digest of the whole set, a
    parity sketch and the members below a fixed share of the hash space
    (at least as many as a prefix needs). Equal sets become one vertex.
-2. Prefix index. Members are ordered by how many documents hold them, rarest
-   first (those above the share come after, by hash). Two sets that link
+2. Prefix index. Members below the share are ordered by how many documents
+   hold them, rarest first; those above it all come after, by hash, whatever
+   their number (it is known in part only). Two sets that link
    share one of the first n - ceil(0.9 n) + 1. A document enters the lists of
    such members only where another document holds them too.
 3. Lists are read in blocks, sorted by size and position. Whole blocks are
@@ -273,14 +274,18 @@ def _index(held: DataFrame, vertices: DataFrame) -> DataFrame:
     """The lists that two vertices or more stand in: (member, v, n, pos,
     parity, i, j, side)."""
     # The many rows of two numbers; the sizes join what is left of them.
-    rows = held.filter("n > 0").select("row", F.explode("low").alias("member"))
+    # Every low list holds all of its set's members in the share, so their
+    # df is exact; beyond the share it is not, and the place by hash counts.
+    beyond = F.col("member").between(-(2 ** 63), -1) | (F.col("member") >= F.lit(int(_BELOW)))  # as unsigned: not in the share
+    rows = held.filter("n > 0").select("row", F.posexplode("low").alias("place", "member")).withColumn("place", F.when(beyond, F.col("place")))
     shared = rows.groupBy("member").agg(F.count("*").alias("df")).filter("df > 1")
-    sizes = held.select("row", "n", F.size("low").alias("lows"))
+    inside = F.size(F.filter("low", lambda m: m.between(0, int(_BELOW) - 1)))
+    sizes = held.select("row", "n", inside.alias("inside"))
     common = rows.join(shared, "member").join(sizes, "row")
     each = Window.partitionBy("row")
-    below = F.col("member").between(-(2 ** 63), -1) | (F.col("member") >= F.lit(int(_BELOW)))  # as unsigned: not in the share
-    placed = (common.withColumn("alone", F.col("lows") - F.count("*").over(each))
-              .withColumn("pos", F.row_number().over(each.orderBy(below, F.when(~below, F.col("df")), F.expr("member < 0"), "member")) - 1 + F.col("alone"))
+    placed = (common.withColumn("alone", F.col("inside") - F.count(F.when(F.col("place").isNull(), 1)).over(each))
+              .withColumn("rank", F.row_number().over(each.orderBy(F.col("place").isNotNull(), "df", "member")) - 1)
+              .withColumn("pos", F.coalesce("place", F.col("rank") + F.col("alone")))
               .filter(F.col("pos") < F.expr("n - (9 * n + 9) div 10 + 1")))
     named = placed.join(held.join(vertices, ["n", "s1", "s2"]).select("row", "v"), "row")
     # Equal sets have equal prefixes; one entry stands for all of them.

@@ -180,6 +180,20 @@ def test_join_near_copies(spark, block, monkeypatch):
     assert got == brute_components(texts)
 
 
+def test_join_appended_words(spark):
+    """Pairs of a text and the same text with words appended, at and around
+    the threshold, of 9 to 300 shingles."""
+    rng = random.Random(12)
+    texts = {}
+    for k, n in enumerate([*range(9, 60), *range(60, 301, 6)] * 3):
+        base = [f"p{k}w{rng.randint(0, 10 ** 6)}" for _ in range(n + 2)]
+        texts[2 * k] = " ".join(base)
+        texts[2 * k + 1] = " ".join(base + [f"q{k}w{i}" for i in range(max(1, n // 9 + rng.choice([0, 0, -1, 1])))])
+    docs = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link(docs).collect()}
+    assert got == brute_components(texts)
+
+
 def test_join_edges(spark, clashing, no_docs):
     rows = ngram_join.link(clashing).collect()
     assert len(rows) == clashing.count() and ngram_join.link(no_docs).count() == 0
