@@ -150,7 +150,8 @@ def read(docs: DataFrame, templates=TEMPLATES, least: float = LEAST, base=BASE)
 
 def match(blocks: DataFrame, frequency: dict[int, int], templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """``blocks`` (row, block, words) joined with the templates: row, block,
-    label, score, one row per match."""
+    label, score and the template words it holds (``held``, as numbers), one
+    row per match."""
     spark = blocks.sparkSession
     scan = scanner(tuple(templates), least)
     ranked = sorted(scan.vocabulary.values(), key=lambda w: (frequency.get(w, 0), w))
@@ -168,16 +169,17 @@ def match(blocks: DataFrame, frequency: dict[int, int], templates=TEMPLATES, lea
     # The templates are a parameter: their size does not follow the corpus.
     near = entries.join(F.broadcast(index), "word").filter(
         (F.size("words") >= F.col("need")) & (F.col("b_place") <= F.size("words") - F.col("need")) & (left >= F.col("need")))
-    shared = F.size(F.array_intersect("words", "t_words"))
-    return near.withColumn("shared", shared).filter("shared >= need").select(
-        "row", "block", "template", "label", (F.col("shared") / F.size("t_words")).alias("score")).distinct()
+    shared = F.array_intersect("words", "t_words")
+    return near.withColumn("held", shared).filter("size(held) >= need").select(
+        "row", "block", "template", "label", (F.size("held") / F.size("t_words")).alias("score"), "held").distinct()
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST, base=BASE) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, ``base``, ``matches``, an array
-    of (first word, last word, label, score) of every matching block, and
-    ``best``, those without a better match that overlaps them: a notice also
-    holds most words of its nearest relatives."""
+    of (first word, last word, label, score, held) of every matching block, and
+    ``best``, those whose words no better match explains. A notice also holds
+    most words of its nearest relatives: a match falls only to one in ``best``
+    that overlaps it, scores more and holds all the template words it holds."""
     stride = scanner(tuple(templates), least).stride
     held = stored(read(docs, templates, least, base).withColumn("row", F.monotonically_increasing_id()), "blocks")
     counts = held.select(F.explode("counts").alias("c")).groupBy("c.word").agg(F.sum("c.n").alias("n"))
@@ -185,9 +187,12 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST, base=BASE)
     blocks = held.select("row", F.explode("blocks").alias("b")).select("row", "b.block", "b.words")
     first = F.col("block") * stride
     found = match(blocks, frequency, templates, least).groupBy("row").agg(F.array_sort(F.collect_list(
-        F.struct(first.alias("first"), (first + 2 * stride - 1).alias("last"), "label", "score"))).alias("matches"))
-    empty = "CAST(array() AS array<struct<first:long,last:long,label:string,score:double>>)"
-    better = lambda m: lambda o: (o["first"] <= m["last"]) & (o["last"] >= m["first"]) & (o["score"] > m["score"])
+        F.struct(first.alias("first"), (first + 2 * stride - 1).alias("last"), "label", "score", "held"))).alias("matches"))
+    empty = "CAST(array() AS array<struct<first:long,last:long,label:string,score:double,held:array<int>>>)"
+    better = lambda m: lambda o: ((o["first"] <= m["last"]) & (o["last"] >= m["first"]) & (o["score"] > m["score"])
+                                  & (F.size(F.array_except(m["held"], o["held"])) == 0))
+    falling = F.array_sort("matches", lambda x, y: F.when(x["score"] > y["score"], -1).when(x["score"] < y["score"], 1).otherwise(0))
+    kept = F.aggregate(falling, F.expr(empty), lambda held, m: F.when(F.exists(held, better(m)), held).otherwise(F.concat(held, F.array(m))))
     return held.select("row", "doc_id", "n_words", "base").join(found, "row", "left").withColumn(
         "matches", F.coalesce("matches", F.expr(empty))).withColumn(
-        "best", F.filter("matches", lambda m: ~F.exists("matches", better(m)))).drop("row")
+        "best", F.array_sort(kept)).drop("row")

@@ -99,6 +99,18 @@ def test_license_join_is_exact(spark):
         assert found[i] == want
 
 
+def test_separate_notices_keep_their_labels(spark):
+    """A better match takes only what holds no word of its own."""
+    notice = {}
+    for label, t in license_scan.TEMPLATES:
+        notice.setdefault(label, t)
+    bsd = notice["bsd"].replace("permitted", "allowed")
+    rows = [(1, f"{bsd} {notice['apache']}"), (2, f"{notice['apache']} {'x ' * 30} {bsd}"), (3, notice["cc-by"]), (4, notice["agpl"]),
+            (5, f"{notice['mpl'].replace('subject', 'under')} {notice['mit']}"), (6, f"{notice['public-domain'].replace('free', 'open')} {notice['cc-by']}")]
+    found = {r.doc_id: {m["label"] for m in r.best} for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: {"bsd", "apache"}, 2: {"bsd", "apache"}, 3: {"cc-by"}, 4: {"agpl"}, 5: {"mpl", "mit"}, 6: {"public-domain", "cc-by"}}
+
+
 def test_license_edges(spark, clashing, no_docs):
     rows = license_scan.scan(clashing).collect()
     assert len(rows) == clashing.count() and license_scan.scan(no_docs).count() == 0
