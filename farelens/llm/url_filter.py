@@ -2,18 +2,19 @@
 
 A rule names a host (with all its subdomains) and the beginning of a path,
 and allows or blocks; of the rules that fit a url the longest decides. Urls
-that rules decide are the labelled urls. From a bounded sample of them
-(``max_train_rows``, those with the smallest hashed urls) Spark ML's boosted
-trees learn lexical features: lengths, depth, digit ratio, entropy, number of
-parameters, and how often urls with the same ending of the host, alone and
-with the same first step of the path, are blocked.
+that rules decide are the labelled urls. Spark ML's boosted trees learn lexical
+features: lengths, depth, digit ratio, entropy, number of parameters, and how
+often urls with the same ending of the host, alone and with the same first step
+of the path, are blocked. These statistics are counted over all labelled rows;
+only the trees are fitted on a bounded sample (``max_train_rows``) of distinct
+urls, those with the smallest hashes of each verdict, weighted by their rows.
 The model judges the urls no rule fits. All steps are SQL expressions and
 Spark ML, in the JVM.
 
 Edge cases: a null url, or one without ``://``, has empty host and path; very
 long urls cost time in proportion; equal urls get equal verdicts; null ids and
-repeated rows are judged each by itself; where the sample does not hold both
-verdicts, the more frequent one (allow if there is none) stands for the model;
+repeated rows are judged each by itself; where the labelled rows do not hold
+both verdicts, the one they hold (allow if there is none) stands for the model;
 an empty table gives an empty result.
 """
 
@@ -34,6 +35,9 @@ RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
 FEATURES = ("url_length", "host_length", "path_length", "depth", "host_labels", "digit_ratio", "hyphens", "entropy", "host_entropy",
             "parameters", "has_fragment", "suffix_blocked", "suffix_seen", "section_blocked", "section_seen")
 ENDINGS = ("suffix", "section")
+#: An ending that a larger part than 1 / OFTEN of the rows have is joined by
+#: broadcast; there are fewer than OFTEN of them, whatever the input.
+OFTEN = 1000
 
 
 def with_parts(pages: DataFrame) -> DataFrame:
@@ -88,9 +92,18 @@ class Judge:
     usual: str
 
     def with_endings(self, made: DataFrame) -> DataFrame:
+        counts = stored(made.groupBy(*ENDINGS).agg(F.count("*").alias("fl_n")), "counts")
+        total = counts.agg(F.coalesce(F.sum("fl_n"), F.lit(0))).first()[0]
         for name, seen in self.endings.items():
-            # No more rows than the sample has: its bound is theirs.
-            made = made.join(F.broadcast(seen), name, "left").fillna({f"{name}_blocked": self.overall, f"{name}_seen": 0.0})
+            values = [f"{name}_blocked", f"{name}_seen"]
+            often = counts.groupBy(name).agg((F.sum("fl_n") * OFTEN > total).alias("fl_often")).filter("fl_often")
+            hot = often.join(seen, name, "left").select(name, "fl_often", *[F.col(v).alias(f"fl_{v}") for v in values])
+            # The hot rows' salts match nothing, so they spread over all tasks.
+            salt = F.when(F.col("fl_often"), F.monotonically_increasing_id() + 1).otherwise(0)
+            made = made.join(F.broadcast(hot), name, "left").withColumn("fl_salt", salt)
+            made = made.join(seen.withColumn("fl_salt", F.lit(0).cast("long")), [name, "fl_salt"], "left")
+            made = (made.withColumns({v: F.coalesce(f"fl_{v}", v) for v in values}).drop("fl_salt", "fl_often", *[f"fl_{v}" for v in values])
+                    .fillna({f"{name}_blocked": self.overall, f"{name}_seen": 0.0}))
         return made
 
 
@@ -100,16 +113,29 @@ def _assembled(made: DataFrame) -> DataFrame:
 
 def fit(labelled: DataFrame, max_train_rows: int = 20_000, trees: int = 10, depth: int = 4) -> Judge:
     """``labelled``: url, host, path, verdict."""
-    sample = stored(with_features(labelled.orderBy(F.xxhash64("url"), "url").limit(max_train_rows))
-                    .withColumn("label", (F.col("verdict") == "block").cast("double")), "labelled")
-    seen = sample.agg(F.count("*").alias("n"), F.coalesce(F.avg("label"), F.lit(0.0)).alias("blocked")).first()
-    endings = {name: stored(sample.groupBy(name).agg(
-        ((F.sum("label") + 5 * seen["blocked"]) / (F.count("*") + 5)).alias(f"{name}_blocked"), F.log1p(F.count("*")).alias(f"{name}_seen")), name)
+    blocked = (F.col("verdict") == "block").cast("double")
+    distinct = stored(labelled.groupBy("url", "host", "path", "verdict").agg(F.count("*").alias("rows")).withColumn("label", blocked), "labelled")
+    held = {r["label"]: r for r in distinct.groupBy("label").agg(F.count("*").alias("urls"), F.sum("rows").alias("rows")).collect()}
+    rows = sum(r["rows"] for r in held.values())
+    overall = held[1.0]["rows"] / rows if 1.0 in held else 0.0
+    made = with_features(distinct)
+    endings = {name: stored(made.groupBy(name).agg(
+        ((F.sum(F.col("label") * F.col("rows")) + 5 * overall) / (F.sum("rows") + 5)).alias(f"{name}_blocked"), F.log1p(F.sum("rows")).alias(f"{name}_seen")), name)
         for name in ENDINGS}
-    judge = Judge(endings, seen["blocked"], None, "block" if seen["blocked"] > 0.5 else "allow")
-    if 0 < seen["blocked"] < 1:
-        ready = stored(_assembled(judge.with_endings(sample)).select("features", "label"), "features")
-        judge.model = GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=32, stepSize=0.3, seed=7, cacheNodeIds=False).fit(ready)
+    judge = Judge(endings, overall, None, "block" if overall > 0.5 else "allow")
+    if len(held) == 2:
+        # Half of the sample for each verdict, and what the other leaves.
+        half, parts = max_train_rows // 2, []
+        for label in held:
+            room = max(1, max_train_rows - min(held[1.0 - label]["urls"], half))
+            parts.append(distinct.filter(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(room))
+        sample = stored(with_features(parts[0].unionByName(parts[1])), "sample")
+        drawn = {r["label"]: r["rows"] for r in sample.groupBy("label").agg(F.sum("rows").alias("rows")).collect()}
+        # Each verdict weighs as much as in all labelled rows.
+        share = F.when(F.col("label") == 1, held[1.0]["rows"] / drawn[1.0]).otherwise(held[0.0]["rows"] / drawn[0.0])
+        weight = F.col("rows") * share * (sum(drawn.values()) / rows)
+        ready = stored(_assembled(judge.with_endings(sample)).select("features", "label", weight.alias("weight")), "features")
+        judge.model = GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=32, stepSize=0.3, seed=7, cacheNodeIds=False, weightCol="weight").fit(ready)
     return judge
 
 

@@ -1,6 +1,7 @@
 """Operators on single texts against brute force: 3, 4, 5, 6, 7, 8, 9."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -209,6 +210,23 @@ def test_url_model_learns(spark):
     assert sum((r.verdict == "block") == (r.prediction == 1) for r in rows) >= 0.8 * len(rows)
 
 
+def test_url_statistics_are_of_all_rows(spark):
+    """Endings that no sampled url has; a hot url that would fill the sample."""
+    rows = [(f"http://h{i}.e{i % 40}/s{i % 3}/x", "block" if i % 40 < 10 else "allow") for i in range(400)]
+    labelled = url_filter.with_parts(spark.createDataFrame([*rows, *[("http://hot.e0/s0/y", "block")] * 200], "url string, verdict string"))
+    fitted = url_filter.fit(labelled, max_train_rows=20)
+    overall = 300 / 600
+    seen = {r.suffix: r for r in fitted.endings["suffix"].collect()}
+    assert len(seen) == 40 and fitted.model is not None and fitted.overall == overall
+    for k, r in seen.items():
+        n = 10 + 200 * (k == "e0")
+        assert r.suffix_seen == pytest.approx(math.log1p(n)) and r.suffix_blocked == pytest.approx((n * (int(k[1:]) < 10) + 5 * overall) / (n + 5))
+    ready = fitted.with_endings(url_filter.with_features(labelled.filter("host = 'hot.e0' OR host = 'h39.e39'"))).collect()
+    assert len(ready) == 201 and {(r.suffix, round(r.suffix_seen, 6)) for r in ready} == {("e0", round(math.log1p(210), 6)), ("e39", round(math.log1p(10), 6))}
+    # All sampled rows were the hot url's, of one verdict.
+    assert url_filter.fit(labelled.filter("host = 'hot.e0' OR verdict = 'allow'"), max_train_rows=2).model is not None
+
+
 def plain_spans(t):
     out = []
     for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
