@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm import bpe, chat_format, factorization, fingerprints, license_scan, ngram_join, packing, personal_data, quality_rules, url_filter
+from farelens.llm import bpe, chat_format, factorization, fingerprints, license_scan, ngram_join, packing, personal_data, quality_rules, url_filter, whitening
 from farelens.llm.common import table
 
 
@@ -94,6 +94,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation beyond a long is an error, never a wrong number."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 
 ORACLE: dict[str, str] = {}
