@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm import bpe, chat_format, factorization, fingerprints, license_scan, ngram_join, packing, personal_data, quality_rules, turn_repair, url_filter, whitening
+from farelens.llm import bpe, chat_format, factorization, fingerprints, html_text, license_scan, ngram_join, packing, personal_data, quality_rules, turn_repair, url_filter, whitening
 from farelens.llm.common import table
 
 
@@ -99,6 +99,11 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumn("deviation", F.col("deviation").cast("long"))
 
 
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, html_text.fit(pages))
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return turn_repair.repair_report(turn_repair.damaged(rows), rows)
@@ -116,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_html_text": op12_html_text,
     "op13_turn_repair": op13_turn_repair,
 }
 

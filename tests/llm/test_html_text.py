@@ -1,0 +1,84 @@
+"""Operator 12: pages whose article is known, other layouts, brute force."""
+
+import random
+import re
+import time
+from html import unescape
+
+import pytest
+from llm_fixtures import SF, result
+from pyspark.sql import functions as F
+
+from farelens.llm import html_text as h
+
+
+def article(html):
+    """What stands in the article element, cut at its blocks."""
+    inner = re.search("<article>(.*?)</article>", html, re.DOTALL)[1]
+    blocks = (" ".join(unescape(re.sub("<[^>]*>", "", b.replace("<br>", " "))).split()) for b in re.split("</?(?:h1|p)>", inner))
+    return "\n\n".join(b for b in blocks if b)
+
+
+def test_text_query(spark):
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    rows = result(spark, "op12_html_text")
+    assert len(rows) == len(pages)
+    for r in rows:
+        assert r.text == article(pages[r.page_id].html) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+
+
+def test_learns_from_labels(spark):
+    """Nothing but the labels says that a ``zq`` box is no article text, and
+    that text before the article's own ``block`` tag is none."""
+    rng = random.Random(3)
+    say = lambda n: " ".join(rng.choice("ab cd ef gh".split()) for _ in range(n))
+    pages = [(k, f"<body><div class='zq'>{say(60)}</div><outer>{say(5)}</outer><article><block><p>{say(30)}</p></block></article></body>") for k in range(30)]
+    df = spark.createDataFrame(pages, "page_id long, html string").repartition(4)
+    scorer = h.Scorer(h.fit(df))
+    unlabelled = "<body><div class='zq'>" + "spam " * 50 + "</div><outer>top line</outer><div><p>one two three</p></div></body>"
+    assert scorer.extract(unlabelled) == "one two three"
+    assert "spam" in h.Scorer(h.Model({}, {})).extract(unlabelled)
+
+
+def test_best_run_is_exact():
+    rng = random.Random(9)
+    for _ in range(300):
+        scores = [rng.choice([-5, -3.5, -1, 0, 1, 2, 4]) for _ in range(rng.randint(0, 25))]
+        start, end = h.best_run(scores)
+        sums = [sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+        assert sum(scores[start:end]) == max([0, *sums])
+
+
+CASES = [
+    ("<html><head><title>T</title></head><body><header><h1>Site</h1><a href='/'>Home</a></header><div id='main'><h1>Real title</h1><p>First <b>bold</b>text."
+     "</p><div class='ad-slot'>Buy now</div><p>A&nbsp;B, see <a href='x'>the\n link</a>.</p><h2>Sub</h2><ul><li>one</li><li>two</li></ul></div>"
+     "<div class='comments'><p>Nice post, I really love it so much.</p></div><footer>c</footer></body></html>",
+     "Real title\n\nFirst boldtext.\n\nA B, see the link.\n\nSub\n\none\n\ntwo"),
+    ("<main><article><h1>A</h1><p>Some words.</p><aside>Related</aside><p>More &lt;b&gt;.</p><form><label>Mail</label><button>Go</button></form>"
+     "<section id='comments'><article class='comment'><p>I agree with all of this and much more of it</p></article></section></article></main>",
+     "A\n\nSome words.\n\nMore <b>."),
+    ("<div class='cookie-notice'><p>We use cookies to make this site better.</p></div><div role=navigation><ul><li>News</li></ul></div><div class='post'>"
+     "<h1>Title</h1><p>Body.</p><script>if (a<b) {'</p>'}</script><!-- <p>no</p> --><style>p{}</style><p>End.<br>Bye.</p></div>", "Title\n\nBody.\n\nEnd. Bye."),
+    ("<p>a<p>b <b>c<p>d & x < y &am; &#233;", "a\n\nb c\n\nd & x < y &am; é"),
+    ("<p title=\"a > b\">x</p><p title='never closed>y</p>", "x\n\ny"),
+    ("<nav>only a menu</nav>", ""), ("", ""), (None, ""), ("<div><p></p></div>", ""), ("plain words", "plain words"), (" \n ", ""),
+]
+
+
+def test_layouts_and_edges(spark):
+    rows = [(k, "u", html) for k, (html, _) in enumerate(CASES)] + [(None, None, CASES[0][0])] * 2
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3).withColumns(
+        {c: F.lit("x") for c in ("text", "N_Chars", "kind", "feature", "inside", "pages")})
+    out = h.extract(df, h.fit(df)).collect()
+    assert len(out) == len(rows) and all(r.text == "x" and r.n_chars_ == len(r.text_) for r in out)
+    for r in out:
+        assert r.text_ == CASES[r.page_id or 0][1], r
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    assert h.extract(none, h.fit(none)).collect() == []
+
+
+@pytest.mark.parametrize("part", ["<b>", "<div class=\"", "<a '>", "<!--", "<script>", "</x>", "<header><h1>a</h1>", "<p>word ", "<", "&amp", "<div class='ad'>"])
+def test_long_pages_take_linear_time(part):
+    start = time.time()
+    h.Scorer(h.Model({}, {})).extract(part * (1_000_000 // len(part)))
+    assert time.time() - start < 20
