@@ -4,7 +4,7 @@ A text is cut into pre-tokens; each is merged on its own. A segment tree over
 the pairs of neighbouring symbols keeps in its root the lowest merge rank and,
 among equals, the leftmost place; a merge touches three leaves, so that a
 pre-token of n bytes takes O(n log n) however long it is. Workers remember the
-ids of short pre-tokens.
+ids of short pre-tokens, in two generations bounded in bytes.
 
 The vocabulary is a file of the tokenizers library, read as data: nothing of
 the library encodes or decodes here.
@@ -20,23 +20,24 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from farelens.llm.common import forget_others, fresh, remembered
+from farelens.llm.common import forget_others, fresh
+from farelens.llm.tokens import Remembered
 
 #: White space as the vocabulary's pattern means it (the Unicode property).
 _S = r"\t-\r \x85\xa0  -     　"
 PATTERN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
-#: Pre-tokens a worker remembers, and the longest it does.
-REMEMBERED, LONGEST = 1_500_000, 48
+#: Bytes of a generation of pre-tokens, and the longest that is remembered.
+GENERATION, LONGEST = 64_000_000, 48
 _NONE = 1 << 62
 
 
@@ -54,10 +55,11 @@ class Vocabulary:
             data = json.load(f)
         ids, stands = data["model"]["vocab"], byte_characters()
         self.byte_ids = [ids[c] for c in stands]
-        self.merges = {}
+        self.ranks, self.made = {}, []  # of a pair of ids; the id that a rank makes
         for rank, pair in enumerate(data["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges.setdefault((ids[a], ids[b]), (rank, ids[a + b]))
+            self.ranks.setdefault(ids[a] << 32 | ids[b], rank)
+            self.made.append(ids[a + b])
         byte_of = {c: b for b, c in enumerate(stands)}
         self.added = {t["content"]: t["id"] for t in data["added_tokens"]}
         size = max([*ids.values(), *self.added.values()]) + 1
@@ -67,68 +69,70 @@ class Vocabulary:
         for token, i in self.added.items():
             self.bytes_of[i] = token.encode()
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.known: dict[str, bytes] = remembered({})
+        self.known = Remembered(GENERATION)
 
     def merge(self, raw: bytes) -> list[int]:
         """Ids of one pre-token."""
         symbols = [self.byte_ids[b] for b in raw]
         n = len(symbols)
-        merges = self.merges
         if n < 2:
             return symbols
+        rank_of, made = self.ranks.get, self.made
         size = 1 << (n - 2).bit_length() if n > 2 else 1
         # A leaf holds rank and place of the pair that starts there.
         tree = [_NONE] * (2 * size)
         for k in range(n - 1):
-            if found := merges.get((symbols[k], symbols[k + 1])):
-                tree[size + k] = found[0] << 32 | k
+            if (rank := rank_of(symbols[k] << 32 | symbols[k + 1])) is not None:
+                tree[size + k] = rank << 32 | k
         for k in range(size - 1, 0, -1):
-            tree[k] = min(tree[2 * k], tree[2 * k + 1])
+            left, right = tree[2 * k], tree[2 * k + 1]
+            tree[k] = left if left < right else right
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-        def put(place: int, value: int) -> None:
-            k = size + place
-            if tree[k] == value:
-                return
-            tree[k] = value
-            while k > 1:
-                k >>= 1
-                least = min(tree[2 * k], tree[2 * k + 1])
-                if tree[k] == least:
-                    break
-                tree[k] = least
-
-        def pair(place: int) -> int:
-            right = after[place]
-            found = merges.get((symbols[place], symbols[right])) if right < n else None
-            return found[0] << 32 | place if found else _NONE
-
         while (least := tree[1]) != _NONE:
             place = least & 0xFFFFFFFF
             gone = after[place]
-            symbols[place] = merges[symbols[place], symbols[gone]][1]
+            symbols[place] = made[least >> 32]
             symbols[gone] = -1
-            after[place] = after[gone]
-            if after[gone] < n:
-                before[after[gone]] = place
+            after[place] = right = after[gone]
+            if right < n:
+                before[right] = place
+                rank = rank_of(symbols[place] << 32 | symbols[right])
+                value = _NONE if rank is None else rank << 32 | place
+            else:
+                value = _NONE
+            k = size + place
+            while k and tree[k] != value:
+                tree[k] = value
+                if k > 1 and tree[k ^ 1] < value:
+                    value = tree[k ^ 1]
+                k >>= 1
             if gone < n - 1:
-                put(gone, _NONE)
-            put(place, pair(place) if place < n - 1 else _NONE)
-            if before[place] >= 0:
-                put(before[place], pair(before[place]))
+                k, value = size + gone, _NONE
+                while k and tree[k] != value:
+                    tree[k] = value
+                    if k > 1 and tree[k ^ 1] < value:
+                        value = tree[k ^ 1]
+                    k >>= 1
+            if (left := before[place]) >= 0:
+                rank = rank_of(symbols[left] << 32 | symbols[place])
+                k, value = size + left, _NONE if rank is None else rank << 32 | left
+                while k and tree[k] != value:
+                    tree[k] = value
+                    if k > 1 and tree[k ^ 1] < value:
+                        value = tree[k ^ 1]
+                    k >>= 1
         return [s for s in symbols if s >= 0]
 
     def _plain(self, text: str) -> list[bytes]:
-        found, known = [], self.known
-        for token in PATTERN.findall(text):
-            ids = known.get(token)
-            if ids is None:
-                ids = np.array(self.merge(token.encode("utf-8")), "<u4").tobytes()
-                if len(token) <= LONGEST:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[token] = ids
-            found.append(ids)
+        cut, known = PATTERN.findall(text), self.known
+        known.age()
+        new = known.gather(set(cut))
+        for token in new:
+            known.put(token, array("I", self.merge(token.encode("utf-8"))).tobytes())
+        found = list(map(known.young.__getitem__, cut))
+        for token in new:
+            if len(token) > LONGEST:
+                del known.young[token]
         return found
 
     def encode(self, text: str) -> bytes:
@@ -149,26 +153,41 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with ``ids`` (binary) in the place of ``text``."""
+def _encoded(docs: DataFrame, path: str, text: str, ids: str, decoded: str | None) -> DataFrame:
+    """``docs`` with ``ids`` in the place of ``text``, and what they decode to
+    in the same pass if ``decoded`` names a column for it."""
     rest = [f for f in docs.schema.fields if f.name != text]
     names = [f.name for f in rest]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget_others(vocabulary(path).known)
-        encoder = vocabulary(path).encode
+        vocab = vocabulary(path)
+        forget_others(vocab.known)
         for b in batches:
-            for i in range(0, b.num_rows, 1000):
-                part = b.slice(i, 1000)
-                made = [encode_one(t, encoder) for t in part.column(text).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(made, pa.binary())], names=[*names, ids])
+            for i in range(0, b.num_rows, 200):
+                part = b.slice(i, 200)
+                made = [vocab.encode(t.as_py() or "") for t in part.column(text)]
+                columns = [*(part.column(c) for c in names), pa.array(made, pa.binary())]
+                if decoded:
+                    columns.append(pa.array(map(vocab.decode, made), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=out)
+
+    clash = {ids.lower(), *([decoded.lower()] if decoded else ())} & {c.lower() for c in names}
+    if clash:
+        raise ValueError(f"docs has a column {', '.join(clash)}; name another for the results")
+    out = [*names, ids, *([decoded] if decoded else ())]
+    made = [T.StructField(ids, T.BinaryType()), *([T.StructField(decoded, T.StringType())] if decoded else ())]
+    return docs.mapInArrow(run, T.StructType([*rest, *made]))
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``docs`` with ``ids`` (binary) in the place of ``text``."""
+    return _encoded(docs, path, text, ids, None)
 
-    def encode_one(t: str | None, encoder) -> bytes:
-        return encoder(t) if t else b""
 
-    if ids.lower() in (c.lower() for c in names):
-        raise ValueError(f"docs has a column {ids}; name another for the ids")
-    return docs.mapInArrow(run, T.StructType([*rest, T.StructField(ids, T.BinaryType())]))
+def round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs`` with ``ids`` in the place of ``text`` and their decoded text, in
+    one pass: one worker a task, one vocabulary."""
+    return _encoded(docs, path, text, ids, decoded)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:

@@ -59,20 +59,21 @@ def text_or_empty(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-_remembered: list[dict] = []
+_remembered: list = []
 
 
-def remembered(cache: dict) -> dict:
-    """Register what a Python worker remembers between batches."""
+def remembered(cache):
+    """Register what a Python worker remembers between batches (anything with
+    ``clear``)."""
     _remembered.append(cache)
     return cache
 
 
-def forget_others(cache: dict) -> None:
+def forget_others(*mine) -> None:
     """A worker serves one operator after another; its memory is for the one
     at work."""
     for other in _remembered:
-        if other is not cache:
+        if not any(other is m for m in mine):
             other.clear()
 
 

@@ -3,26 +3,46 @@
 A vocabulary whose pre-tokeniser drops white space and never joins what
 stands on either side of it can be asked for each run of other characters
 alone. Workers remember the ids of the runs they have met, so that most of a
-text is looked up and only new runs reach the library.
+text is looked up. A new run is cut as the vocabulary itself would cut it
+(letters, single digits, other signs); the pieces are remembered too, and those
+never met go to the library many at a time, as words of one text, whose ids part
+where a token ends a word. Runs with characters beyond the Latin blocks, and
+vocabularies of another kind, are asked for one by one.
+
+What a worker remembers is bounded in bytes: two generations, of which the
+older is let go when the younger is full.
+
+Edge cases: an empty text has no ids; very long runs are encoded but not
+remembered; whatever the library makes of control characters, unusual spaces and
+added tokens is asked of it.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
-from tokenizers import Tokenizer
+import regex
+from tokenizers import Tokenizer, pre_tokenizers
 
 from farelens.llm.common import forget_others, remembered
 
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
-#: Runs a worker remembers, and the longest it does.
-REMEMBERED, LONGEST = 600_000, 64
+#: Bytes of a generation of runs or pieces, and the longest that is remembered.
+GENERATION, LONGEST = 64_000_000, 64
+#: Pieces asked for in one text.
+_JOINED = 500
 #: Python splits here too, but the vocabularies' pattern does not.
 _UNLIKE = "\x1c\x1d\x1e\x1f"
+#: Runs whose characters are lower-cased one by one and need no normalisation.
+_LATIN = regex.compile(r"[\n!-~\u00a1-\u012f\u0131-\u024f]+")
+#: As the split of ``word_bpe_49k.json``.
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_PIECES = regex.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
 @lru_cache(2)
@@ -38,28 +58,111 @@ def packed(ids: Iterable[int]) -> bytes:
     return b"".join(i.to_bytes(4, "little") for i in ids)
 
 
+class Remembered:
+    """Two generations of what was met, each of about ``generation`` bytes."""
+
+    def __init__(self, generation: int = GENERATION) -> None:
+        self.young, self.old, self.size, self.generation = {}, {}, 0, generation
+        remembered(self)
+
+    def put(self, key: str, ids: bytes) -> None:
+        self.young[key] = ids
+        # Objects and the table's slot take about 190 bytes.
+        self.size += 190 + len(key) + len(ids)
+
+    def age(self) -> None:
+        """Let the older generation go if the younger is full."""
+        if self.size > self.generation:
+            self.old, self.young, self.size = self.young, {}, 0
+
+    def gather(self, keys: Iterable[str]) -> list[str]:
+        """Bring what is known of ``keys`` to the younger generation; those
+        that are not known."""
+        new, young, old = [], self.young, self.old
+        for key in keys:
+            if key not in young:
+                if key in old:
+                    self.put(key, old[key])
+                else:
+                    new.append(key)
+        return new
+
+    def clear(self) -> None:
+        self.young, self.old, self.size = {}, {}, 0
+
+
 class SpacelessEncoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = load(path)
-        self.known: dict[str, bytes] = remembered({})
-
-    def _ids(self, texts: list[str]) -> Iterator[bytes]:
-        return (packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+        self.known, self.pieces = Remembered(), Remembered(GENERATION // 2)
+        self.added = regex.compile("|".join(regex.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)")
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        if suffix and _SPLIT in self.tokenizer.to_str().replace("\\\\", "\\"):
+            self.ends = bytearray(self.tokenizer.get_vocab_size())
+            for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+                self.ends[i] = token.endswith(suffix)
+            # For pieces, which are normalised and cut already.
+            self.plain = Tokenizer(self.tokenizer.model)
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+
+    def _ids(self, texts: list[str]) -> Iterator[list[int]]:
+        return (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
+    def _parts(self, pieces: list[str]) -> None:
+        """Remember the ids of pieces that the vocabulary does not cut."""
+        groups = [pieces[i:i + _JOINED] for i in range(0, len(pieces), _JOINED)]
+        for group, e in zip(groups, self.plain.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = e.ids
+            ends = [k + 1 for k, i in enumerate(ids) if self.ends[i]]
+            if len(ends) == len(group):
+                made = array("I", ids).tobytes()
+                for piece, a, b in zip(group, [0, *ends], ends, strict=False):
+                    self.pieces.put(piece, made[4 * a:4 * b])
+            else:
+                for piece, own in zip(group, self._ids(group), strict=True):
+                    self.pieces.put(piece, packed(own))
+
+    def _learn(self, runs: list[str]) -> None:
+        """Remember the ids of runs not met before."""
+        alike, other = [], runs
+        if self.ends is not None:
+            together = "\n".join(runs)
+            if _LATIN.fullmatch(together) and not self.added.search(together):
+                alike, other = runs, []
+            else:
+                alike = [r for r in runs if _LATIN.fullmatch(r) and not self.added.search(r)]
+                kept = set(alike)
+                other = [r for r in runs if r not in kept]
+        if alike:
+            pieces = _PIECES.findall("\n".join(alike).lower())
+            self.pieces.age()
+            self._parts(self.pieces.gather({p for p in pieces if p != "\n"}))
+            ids, at, k = self.pieces.young, 0, 0
+            for run in alike:
+                try:
+                    k = pieces.index("\n", at)
+                except ValueError:
+                    k = len(pieces)
+                self.known.put(run, ids[pieces[at]] if k == at + 1 else b"".join([ids[p] for p in pieces[at:k]]))
+                at = k + 1
+        for run, own in zip(other, self._ids(other), strict=True):
+            self.known.put(run, packed(own))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids, packed."""
-        forget_others(self.known)
+        forget_others(self.known, self.pieces)
+        self.known.age()
         runs = [None if any(c in t for c in _UNLIKE) else t.split() for t in texts]
-        new = list(set(chain.from_iterable(r for r in runs if r)).difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(set(chain.from_iterable(r for r in runs if r)))
-        self.known.update(zip(new, self._ids(new), strict=True))
-        found = [next(self._ids([t])) if r is None else b"".join(map(self.known.__getitem__, r))
-                 for t, r in zip(texts, runs, strict=True)]
+        new = self.known.gather(set(chain.from_iterable(r for r in runs if r)))
+        self._learn(new)
+        ids = self.known.young
+        found = [packed(next(self._ids([t]))) if r is None else b"".join(map(ids.__getitem__, r)) for t, r in zip(texts, runs, strict=True)]
         for run in new:
             if len(run) > LONGEST:
-                del self.known[run]
+                del ids[run]
+        for piece in [p for p in self.pieces.young if len(p) > LONGEST] if any(len(r) > LONGEST for r in new) else ():
+            del self.pieces.young[piece]
         return found
 
 
