@@ -82,15 +82,14 @@ def mask(offsets: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
     """Rows (token, start, end) of every token that has characters of a span.
     ``offsets`` (tokens, 2) and ``spans`` are sorted; tokens that share a
     character (its bytes) overlap."""
-    starts, ends = (np.ascontiguousarray(offsets[:, k]) for k in (0, 1))
-    found = [np.zeros((0, 3), "i4")]
-    for start, end in spans:
-        a, b = np.searchsorted(ends, start, "right"), np.searchsorted(starts, end, "left")
-        part = np.empty((max(0, b - a), 3), "i4")
-        part[:, 0] = np.arange(a, max(a, b))
-        part[:, 1], part[:, 2] = np.maximum(starts[a:b], start), np.minimum(ends[a:b], end)
-        found.append(part[part[:, 1] < part[:, 2]])
-    return np.concatenate(found)
+    starts, ends = (np.ascontiguousarray(offsets[:, k], "i4") for k in (0, 1))
+    edges = np.array(spans, "i4").reshape(-1, 2)
+    first, past = np.searchsorted(ends, edges[:, 0], "right"), np.searchsorted(starts, edges[:, 1], "left")
+    many = np.maximum(past - first, 0)
+    of = np.repeat(np.arange(len(edges)), many)  # the span of each row
+    token = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many) + first[of]
+    found = np.stack([token, np.maximum(starts[token], edges[of, 0]), np.minimum(ends[token], edges[of, 1])], axis=1).astype("i4")
+    return found[found[:, 1] < found[:, 2]]
 
 
 def masked_text(formatted: str, masked: np.ndarray) -> str:
