@@ -223,6 +223,16 @@ def usd_per_km(df: DataFrame) -> DataFrame:
 
 
 STATS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
+#: Ranges that a quartile's bracket is cut into.
+RANGES = 1024
+
+
+def _range_in_bracket() -> Column:
+    """Where ``v`` lies from ``lo`` to ``hi``, as one of RANGES that rise with
+    it; -1 and RANGES beside them. Infinite brackets leave few ranges in use."""
+    part = F.nanvl(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0)) * (RANGES - 1)
+    return (F.when(F.col("side") < 0, -1).when(F.col("side") > 0, RANGES).when(F.col("v") == F.col("hi"), RANGES - 1)
+             .otherwise(F.least(F.lit(RANGES - 2), F.greatest(F.lit(0), F.floor(part).cast("int")))))
 
 
 def describe_distance(df: DataFrame, col: str = "distance_km", approx: bool = False,
@@ -233,9 +243,12 @@ def describe_distance(df: DataFrame, col: str = "distance_km", approx: bool = Fa
     ``percentile_approx`` (whose rank error is at most rows / accuracy) are
     one scalar subquery. A second pass counts, by quartile, the values below
     and above its bracket as one row each and those inside by value, combined
-    map-side; only these few (a share of about 6 / accuracy of the rows, fewer
-    where values tie) are put in order. A rank that fell outside its bracket would raise an
-    error. ``approx`` is a single pass with ``percentile_approx``.
+    map-side (a share of about 6 / accuracy of the rows, fewer where values
+    tie). A bracket is cut into RANGES of equal width; from their counts follows
+    the range that holds a wanted rank, and only the values of that one are put
+    in order, so that no task has a quartile's whole bracket. A rank that fell
+    outside its bracket would raise an error. ``approx`` is a single pass with
+    ``percentile_approx``.
     """
     vals = finite_values(df, col)
     probs = [0.25, 0.5, 0.75]
@@ -259,12 +272,22 @@ def describe_distance(df: DataFrame, col: str = "distance_km", approx: bool = Fa
     near = (vals.filter("v IS NOT NULL").withColumn("br", known["br"]).select("v", "br", quartile)
                 .select("k", "v", F.get("br", F.col("k") * 2).alias("lo"), F.get("br", F.col("k") * 2 + 1).alias("hi"))
                 .withColumn("side", F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0))
-                .groupBy("k", "side", F.when(F.col("side") == 0, F.col("v")).alias("at"))
+                .groupBy("k", _range_in_bracket().alias("r"), F.when(F.col("side") == 0, F.col("v")).alias("at"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("first"), F.max("v").alias("last")))
-    order = Window.partitionBy("k").orderBy("side", "at")
-    ranked = near.withColumn("upto", F.sum("n").over(order)).withColumn("count", known["count"])
+    # By quartile an array of at most RANGES + 2 counts, then of running sums.
+    sizes = (near.groupBy("k", "r").agg(F.sum("n").alias("n"))
+                 .groupBy("k").agg(F.array_sort(F.collect_list(F.struct("r", "n"))).alias("sizes")).withColumn("count", known["count"]))
     place = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("k") + 1) * (F.col("count") - 1)
-    ranked = ranked.withColumn("place", place)
+    ends = F.transform("sizes", lambda x, i: F.struct(x["r"].alias("r"), F.aggregate(
+        F.slice("sizes", 1, i), F.lit(0).cast("long"), lambda total, y: total + y["n"]).alias("before"), x["n"].alias("n")))
+    holder = lambda rank: F.get(F.filter("ends", lambda e: e["before"] + e["n"] > rank), F.lit(0))
+    wanted = sizes.withColumns({"place": place, "ends": ends}).select(
+        F.col("k").alias("wk"), "place", holder(F.floor("place")).alias("a"), holder(F.ceil("place")).alias("b"))
+    # Only the ranges that hold a wanted rank are put in order, each by itself.
+    chosen = near.join(F.broadcast(wanted), (F.col("k") == F.col("wk")) & F.col("r").isin(F.col("a")["r"], F.col("b")["r"]))
+    order = Window.partitionBy("k", "r").orderBy("at")
+    before = F.when(F.col("r") == F.col("a")["r"], F.col("a")["before"]).otherwise(F.col("b")["before"])
+    ranked = chosen.withColumn("upto", before + F.sum("n").over(order))
 
     def at_rank(rank: Column) -> Column:
         held = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))

@@ -89,16 +89,25 @@ def cleaning_report(df: DataFrame, with_box: bool = True) -> DataFrame:
     Percent is NULL when the old size is 0.
     """
     steps = cleaning_steps(df, with_box)
-    survivors = [F.count(F.lit(1)).alias("n0")]
+    return report_of(df.agg(*survivors(steps)), [name for name, _ in steps])
+
+
+def survivors(steps: list[tuple[str, Column]]) -> list[Column]:
+    """n0, n1, ...: rows, and rows left after each step."""
+    counts = [F.count(F.lit(1)).alias("n0")]
     keep = F.lit(True)
     for i, (_, pred) in enumerate(steps, start=1):
         keep = keep & F.coalesce(pred, F.lit(False))
-        survivors.append(F.count_if(keep).alias(f"n{i}"))
-    sizes = df.agg(*survivors)
+        counts.append(F.count_if(keep).alias(f"n{i}"))
+    return counts
+
+
+def report_of(sizes: DataFrame, names: list[str]) -> DataFrame:
+    """The cleaning report of one row of ``survivors``."""
     rows = F.array(*[
         F.struct(F.lit(i).alias("step"), F.lit(name).alias("step_name"),
                  F.col(f"n{i - 1}").alias("old_size"), F.col(f"n{i}").alias("new_size"))
-        for i, (name, _) in enumerate(steps, start=1)])
+        for i, name in enumerate(names, start=1)])
     out = sizes.select(F.inline(rows))
     dropped = F.col("old_size") - F.col("new_size")
     pct = F.when(F.col("old_size") == 0, F.lit(None).cast("double")).otherwise(

@@ -26,8 +26,10 @@ from ..operators.zones import (area_sql, box_filter, extent_clip, inside_nyc, ou
                                zone_rides, zones_frame)
 from ..session import scratch_path
 from ..sources.fixtures import load_rides, read_table
-from ..sources.rides import (RIDE_COLUMNS, cap_rows, cap_rows_spread, count_rows, drop_columns, preview_rows, project,
-                             read_rides_csv, register_view, subset_rows, write_rides_csv)
+from ..sources.keyed_store import KeyedStore
+from ..sources.rides import (CSV_TS_FORMAT, RIDE_COLUMNS, cap_rows, cap_rows_spread, count_rows, drop_columns, good_rides, parse_rides,
+                             preview_rows, project, quarantined, read_rides_csv, register_view, subset_rows, write_rides_csv)
+from ..streaming import epochs as ep
 from ..streaming import rides_stream as rs
 from . import plotsets as ps
 from . import sqltext as q
@@ -751,6 +753,80 @@ def q_apply_changes(spark, sf):
     return chg.apply_changes(_customers(spark, sf), _changes(spark, sf), KEY)
 
 
+# ---------------------------------------------------------------- stored results
+
+
+def _stored_customers(spark, sf) -> KeyedStore:
+    return KeyedStore.create(_customers(spark, sf), scratch_path(spark, "customers"), KEY, buckets=16)
+
+
+@register("stored_apply_changes", ORACLE["apply_changes"])
+def q_stored_apply_changes(spark, sf):
+    """R3-R5 on a bucketed store: only touched buckets are rewritten."""
+    store = _stored_customers(spark, sf)
+    store.apply(_changes(spark, sf))
+    return store.read()
+
+
+@register("stored_lookup", W_KEYED + "SELECT * FROM base WHERE c_custkey IN (SELECT c_custkey FROM changes WHERE op = 'delete')")
+def q_stored_lookup(spark, sf):
+    return _stored_customers(spark, sf).lookup(_changes(spark, sf).filter(F.col("op") == "delete"))
+
+
+@register("stream_epoch_log", ORACLE["stream_handover"])
+def q_stream_epoch_log(spark, sf):
+    stream = fare_floor(rs.ride_stream_from_events(spark, sf))
+    log = ep.hand_over(stream, ep.EpochLog(spark, stream.schema))
+    log.compact()
+    return log.read()
+
+
+def _delivered(spark, sf, times: int) -> str:
+    """Rides as CSV files, each delivered ``times`` times."""
+    src = scratch_path(spark, "deliveries")
+    for _ in range(times):
+        rides(spark, sf).repartition(3, "key").write.mode("append").option("header", True).option("timestampNTZFormat", CSV_TS_FORMAT).csv(src)
+    return src
+
+
+@register("stream_avg_fare_update", ORACLE["stream_avg_fare"])
+def q_stream_avg_update(spark, sf):
+    """T5 in update mode over several micro-batches."""
+    stream = clean_rides(rs.read_rides_stream(spark, _delivered(spark, sf, 1), max_files_per_trigger=1, ntz=True))
+    hourly = stream.groupBy("hour").agg(F.avg("fare_amount").alias("avg_fare"))
+    return r6(ep.merge_updates(hourly, ["hour"], ep.EpochLog(spark, hourly.schema)).read(), "avg_fare")
+
+
+@register("stream_once_per_key", ORACLE["stream_ingest"])
+def q_stream_once(spark, sf):
+    """Every file delivered twice; a time span that holds the whole table."""
+    stream = rs.read_rides_stream(spark, _delivered(spark, sf, 2), max_files_per_trigger=2, ntz=True)
+    return spark.read.parquet(rs.run_to_parquet(ep.once_per_key(stream, late="36500 days")))
+
+
+@register("stream_cleaning_report", ORACLE["cleaning_report"])
+def q_stream_report(spark, sf):
+    """C4 on a stream, over several micro-batches."""
+    stream = rs.read_rides_stream(spark, _delivered(spark, sf, 1), max_files_per_trigger=1, ntz=True)
+    kept, report = ep.EpochLog(spark, stream.schema), ep.EpochLog(spark, ep.report_schema(stream))
+    ep.clean_and_report(stream, kept, report)
+    return ep.summed_report(report, stream)
+
+
+@register("csv_quarantine", W_RIDES + "SELECT CASE WHEN passenger_count IN (2, 3) THEN 'quarantined' ELSE 'good' END AS kind, count(*) AS n "
+          "FROM rides GROUP BY 1")
+def q_csv_quarantine(spark, sf):
+    """Lines whose fare is no number, or that have a field too many, beside good ones."""
+    src = scratch_path(spark, "lines")
+    fields = [F.coalesce(F.date_format(c, CSV_TS_FORMAT) if c == "pickup_datetime" else F.col(c).cast("string"), F.lit("")) for c in RIDE_COLUMNS]
+    pax = F.coalesce("passenger_count", F.lit(0))
+    broken = [F.when(pax == 2, "n/a").otherwise(f) if c == "fare_amount" else f for c, f in zip(RIDE_COLUMNS, fields, strict=True)]
+    rides(spark, sf).select(F.concat(F.concat_ws(",", *broken), F.when(pax == 3, ",extra").otherwise("")).alias("value")).write.text(src)
+    parsed = parse_rides(spark.read.text(src), ntz=True)
+    kinds = good_rides(parsed).select(F.lit("good").alias("kind")).unionByName(quarantined(parsed).select(F.lit("quarantined").alias("kind")))
+    return kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """rides -> clean -> features -> average fare by hour."""
     return QUERIES["avg_fare_hour"](spark, sf)

@@ -52,6 +52,30 @@ def read_rides_csv(spark: SparkSession, path: str, sep: str = ",", ntz: bool = F
     return r.csv(path)
 
 
+MALFORMED = "malformed"
+
+
+def parse_rides(lines: DataFrame, sep: str = ",", ntz: bool = False) -> DataFrame:
+    """S1/S2 with a quarantine: rides of CSV ``lines`` (column ``value``, batch
+    or stream) and, in ``malformed``, the text of each line that breaks the
+    schema (a field of another type, too many or too few fields); its ride
+    columns are not to be used. Header lines are dropped; a quoted field may not
+    hold a line break."""
+    schema = RIDE_SCHEMA_NTZ if ntz else RIDE_SCHEMA
+    whole = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED} | ({"timestampNTZFormat": CSV_TS_FORMAT} if ntz else {})
+    rows = lines.filter(F.col("value") != sep.join(RIDE_COLUMNS)).select(F.from_csv("value", whole.simpleString()[7:-1].replace(":", " "), options).alias("r"))
+    return rows.select("r.*")
+
+
+def good_rides(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
+def quarantined(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col(MALFORMED).isNotNull()).select(F.col(MALFORMED).alias("line"))
+
+
 def read_rides_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Columnar ride store; filters and column pruning reach the scan."""
     return spark.read.parquet(path)
