@@ -275,7 +275,9 @@ def describe_distance(df: DataFrame, col: str = "distance_km", approx: bool = Fa
                 .groupBy("k", _range_in_bracket().alias("r"), F.when(F.col("side") == 0, F.col("v")).alias("at"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("first"), F.max("v").alias("last")))
     # By quartile an array of at most RANGES + 2 counts, then of running sums.
-    sizes = (near.groupBy("k", "r").agg(F.sum("n").alias("n"))
+    # All columns of ``near`` are read, so that it is one exchange used twice.
+    counted = F.sum(F.when(F.col("at").isNull() | (F.col("first") <= F.col("last")), F.col("n")))
+    sizes = (near.groupBy("k", "r").agg(counted.alias("n"))
                  .groupBy("k").agg(F.array_sort(F.collect_list(F.struct("r", "n"))).alias("sizes")).withColumn("count", known["count"]))
     place = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("k") + 1) * (F.col("count") - 1)
     ends = F.transform("sizes", lambda x, i: F.struct(x["r"].alias("r"), F.aggregate(
