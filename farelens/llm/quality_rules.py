@@ -1,20 +1,26 @@
 """Quality rules by weak supervision (SQL functions only).
 
-Each rule looks at cheap statistics of one text and votes *good* (1), *bad*
-(-1) or abstains (0). Nothing says how far a rule is to be trusted, so
-expectation-maximisation estimates it from the votes alone: the share of good
-documents, and for every rule how often it votes bad on bad documents
-(``sens``) and good on good ones (``spec``). A document's posterior
-probability of being good replaces the usual all-rules-must-pass filter.
+Each rule looks at cheap statistics of one text and votes *bad* (-1) beyond one
+bound, *good* (1) well within another, and abstains (0) in between. Rules come in
+kinds of defect (symbols, shouting, repetition, wording), as texts go wrong in
+one way at a time. Nothing says how far a rule is to be trusted:
+expectation-maximisation estimates, from the votes alone, a mixture of good
+documents and of documents with each kind of defect, and in each of these the
+rate at which every rule that votes at all votes bad. An abstention is as likely
+in all of them and so no evidence. A document's posterior probability of being
+good replaces the usual all-rules-must-pass filter: rules of a kind that agree
+reject it, a lone vote of a rule that is often alone does not.
 
 The corpus enters EM only as counts of vote patterns, at most 3 ** rules rows
-whatever its size. Every E and M step is one aggregate over those rows; the
-driver carries only the handful of estimates from one step to the next.
+whatever its size, which the driver holds; it goes round until the estimates no
+longer move. Beliefs held at the start weigh ``STRENGTH`` of the documents, so
+that the estimates are the same for a corpus and for a thousand copies of it.
 
 Edge cases: null texts count as empty; a text without words has no votes, a
 posterior equal to the prior and fails the base rules; repeated rows and null
 ids stay, each is judged by itself; an empty table gives an empty result;
-columns besides ``text`` are neither read nor changed.
+columns besides ``text`` are neither read nor changed (a made column that
+clashes gets an underscore).
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import log
+from math import log, log1p, prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,18 +38,21 @@ from farelens.llm.common import SPACE, fresh, stored, text_or_empty
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
-#: (name, bad if, good if) in SQL over the statistics below; neither or NULL:
-#: abstain. Most rules know one defect and say nothing about other texts.
-RULES: tuple[tuple[str, str, str], ...] = (
-    ("symbols", "n_symbols > 0.10 * n_words", "false"),
-    ("capitals", "n_capitals > 0.40 * word_chars", "false"),
-    ("shouting", "n_shouts > 0.20 * n_words", "false"),
-    ("variety", "n_distinct < 0.20 * n_words", "false"),
-    ("repeats", "n_repeat_words > 0.20 * n_words", "false"),
-    ("word_length", "word_chars < 2.0 * n_words or word_chars > 15.0 * n_words", "false"),
-    ("prose", "false", "n_stops >= 0.02 * n_words and n_shouts <= 0.02 * n_words "
-                       "and n_symbols <= 0.02 * n_words and n_capitals <= 0.20 * word_chars"),
+#: (name, kind of defect, bad if, good if) in SQL over the statistics below;
+#: neither or NULL: abstain.
+RULES: tuple[tuple[str, str, str, str], ...] = (
+    ("symbols", "symbols", "n_symbols > 0.10 * n_words", "n_symbols <= 0.02 * n_words"),
+    ("density", "symbols", "n_symbols > 0.04 * word_chars", "n_symbols <= 0.01 * word_chars"),
+    ("capitals", "shouting", "n_capitals > 0.40 * word_chars", "n_capitals <= 0.15 * word_chars"),
+    ("shouts", "shouting", "n_shouts > 0.20 * n_words", "n_shouts <= 0.02 * n_words"),
+    ("variety", "repetition", "n_distinct < 0.20 * n_words", "n_distinct >= 0.35 * n_words"),
+    ("repeats", "repetition", "n_repeat_words > 0.10 * n_words", "n_repeat_words <= 0.02 * n_words"),
+    ("word_length", "wording", "word_chars < 2.0 * n_words or word_chars > 15.0 * n_words", "word_chars between 3.0 * n_words and 10.0 * n_words"),
+    ("stops", "wording", "n_words >= 30 and n_stops < 0.01 * n_words", "n_stops >= 0.02 * n_words"),
 )
+#: What EM starts from: the share of good documents, how often a rule votes bad
+#: on good ones, on its own kind of defect and on others; and their weight.
+GOOD, ALARM, OWN, OTHER, STRENGTH = 0.85, 0.01, 0.70, 0.05, 0.01
 
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -107,56 +116,62 @@ def votes(stats: str = "stats", rules: Sequence = RULES) -> Column:
     """array<int> of the rules' votes; all abstain on a text without words."""
     inside = lambda sql: _NAMES.sub(rf"`{stats}`.\1", sql)
     return F.array(*[F.expr(f"CASE WHEN `{stats}`.n_words = 0 THEN 0 WHEN {inside(bad)} THEN -1 WHEN {inside(good)} THEN 1 ELSE 0 END")
-                     for _, bad, good in rules])
+                     for _, _, bad, good in rules])
 
 
 @dataclass(frozen=True)
 class Estimates:
-    """What EM found: the share of good documents, and for every rule how
-    often it votes bad and good on bad documents and on good ones. An
-    abstention counts as no evidence."""
-
-    prior: float
-    bad_on_bad: tuple[float, ...]
-    bad_on_good: tuple[float, ...]
-    good_on_bad: tuple[float, ...]
-    good_on_good: tuple[float, ...]
-
-    def posterior(self, votes: Column) -> Column:
-        """Probability that a document is good."""
-        bad = F.array(*[F.lit(log(x / y)) for x, y in zip(self.bad_on_good, self.bad_on_bad, strict=True)])
-        good = F.array(*[F.lit(log(x / y)) for x, y in zip(self.good_on_good, self.good_on_bad, strict=True)])
-        prior = F.array(F.lit(log(self.prior / (1 - self.prior))))
-        # Arrays are passed to generated code by reference, so that every
-        # round of EM runs the same code.
-        logit = F.aggregate(
-            F.transform(votes, lambda v, k: F.when(v == -1, F.get(bad, k)).when(v == 1, F.get(good, k)).otherwise(0.0)),
-            F.get(prior, F.lit(0)), lambda total, x: total + x)
-        return 1 / (1 + F.exp(-logit))
+    """What EM found: the shares of good documents and of each kind of defect,
+    and in each of these how often every rule that votes votes bad."""
+
+    shares: tuple[float, ...]
+    rates: tuple[tuple[float, ...], ...]
+
+    def posterior(self, votes: str) -> Column:
+        """Probability that a document is good: the odds of each kind of defect
+        against it, summed up."""
+        listed = lambda numbers: f"array({', '.join(f'{x!r}D' for x in numbers)})"
+        shares = listed(log(x / self.shares[0]) for x in self.shares[1:])
+        bad = f"array({', '.join(listed(log(x / y) for x, y in zip(r, self.rates[0], strict=True)) for r in self.rates[1:])})"
+        good = f"array({', '.join(listed(log1p(-x) - log1p(-y) for x, y in zip(r, self.rates[0], strict=True)) for r in self.rates[1:])})"
+        return F.expr(f"""1D / aggregate(transform({shares}, (s, c) -> least(700D, aggregate(
+            transform(`{votes}`, (v, k) -> CASE v WHEN -1 THEN get(get({bad}, c), k) WHEN 1 THEN get(get({good}, c), k) ELSE 0D END),
+            s, (t, x) -> t + x))), 1D, (t, x) -> t + exp(x))""")
+
+    def classes(self, votes: Sequence[int]) -> list[float]:
+        """Of one pattern: probability of good, and of each kind of defect."""
+        like = [share * prod(r if v == -1 else 1 - r for v, r in zip(votes, rates, strict=True) if v)
+                for share, rates in zip(self.shares, self.rates, strict=True)]
+        total = sum(like)
+        return [x / total for x in like]
 
     def flat(self) -> tuple[float, ...]:
-        return (self.prior, *self.bad_on_bad, *self.bad_on_good, *self.good_on_bad, *self.good_on_good)
-
-
-def fit(patterns: DataFrame, n_rules: int, rounds: int = 20, tolerance: float = 1e-4) -> Estimates:
-    """EM over ``patterns`` (votes array<int>, n long), a few rows.
-
-    It starts from a belief that few documents are bad and that rules are
-    mostly right; ten pseudo-documents a class hold that belief, keep every
-    estimate off 0 and 1, and are all there is on an empty table.
-    """
-    start = {"bb": 0.4, "bg": 0.004, "gb": 0.2, "gg": 0.7}
-    now = Estimates(0.85, *((x,) * n_rules for x in start.values()))
-    for _ in range(rounds):
-        judged = patterns.select("n", F.posexplode("votes").alias("rule", "vote"), now.posterior(F.col("votes")).alias("p"))
-        r = {(x["rule"], x["vote"]): x for x in judged.groupBy("rule", "vote").agg(
-            F.sum(F.col("n") * F.col("p")).alias("g"), F.sum(F.col("n") * (1 - F.col("p"))).alias("b")).collect()}
-        of = lambda k, vote, c: r[k, vote][c] if (k, vote) in r else 0.0
-        good, bad = (sum(of(0, vote, c) for vote in (-1, 0, 1)) for c in "gb")
-        votes = {"bb": (-1, "b", bad), "bg": (-1, "g", good), "gb": (1, "b", bad), "gg": (1, "g", good)}
-        rates = (tuple(min(0.9999, (of(k, vote, c) + 10 * start[name]) / (of_class + 10)) for k in range(n_rules))
-                 for name, (vote, c, of_class) in votes.items())
-        then = Estimates(min(0.99, max(0.01, (good + 8.5) / (good + bad + 10))), *rates)
+        return (*self.shares, *(x for rates in self.rates for x in rates))
+
+
+def beliefs(kinds: Sequence[str]) -> Estimates:
+    """Where EM starts, for rules of these ``kinds``."""
+    each = list(dict.fromkeys(kinds))
+    rates = [tuple(OWN if k == kind else OTHER for k in kinds) for kind in each]
+    return Estimates((GOOD, *((1 - GOOD) / len(each) for _ in each)), (tuple(ALARM for _ in kinds), *rates))
+
+
+def fit(patterns: DataFrame, kinds: Sequence[str], rounds: int = 10_000, tolerance: float = 1e-9, strength: float = STRENGTH) -> Estimates:
+    """EM over ``patterns`` (votes array<int>, n long), at most 3 ** rules rows,
+    until no estimate moves by ``tolerance`` (some hundred rounds; ``rounds``
+    only ends it where it would not). Without documents the beliefs are all
+    there is."""
+    counts = [(tuple(r["votes"]), r["n"]) for r in patterns.groupBy("votes").agg(F.sum("n").alias("n")).collect()]
+    start = now = beliefs(kinds)
+    many, rules, total = range(len(start.shares)), range(len(kinds)), sum(n for _, n in counts)
+    weight = strength * total
+    for _ in range(rounds if total else 0):
+        judged = [(votes, [n * p for p in now.classes(votes)]) for votes, n in counts]
+        held = [sum(p[c] for _, p in judged) for c in many]
+        bad = [[sum(p[c] for votes, p in judged if votes[k] == -1) for k in rules] for c in many]
+        voted = [[sum(p[c] for votes, p in judged if votes[k]) for k in rules] for c in many]
+        then = Estimates(tuple((held[c] + weight * start.shares[c]) / (total + weight) for c in many),
+                         tuple(tuple((bad[c][k] + weight * start.rates[c][k]) / (voted[c][k] + weight) for k in rules) for c in many))
         moved = max(abs(x - y) for x, y in zip(now.flat(), then.flat(), strict=True))
         now = then
         if moved < tolerance:
@@ -164,6 +179,10 @@ def fit(patterns: DataFrame, n_rules: int, rounds: int = 20, tolerance: float =
     return now
 
 
+def kinds_of(rules: Sequence) -> list[str]:
+    return [kind for _, kind, _, _ in rules]
+
+
 def patterns(judged: DataFrame, column: str = "votes") -> DataFrame:
     return judged.groupBy(F.col(column).alias("votes")).agg(F.count("*").alias("n"))
 
@@ -176,7 +195,7 @@ def with_votes(docs: DataFrame, text: str = "text", rules: Sequence = RULES) ->
 
 def fit_documents(docs: DataFrame, text: str = "text", rules: Sequence = RULES) -> Estimates:
     only = docs.select(F.col(f"`{text}`").alias("text"))
-    return fit(stored(patterns(with_votes(only, "text", rules)).coalesce(1), "patterns"), len(rules))
+    return fit(stored(patterns(with_votes(only, "text", rules)).coalesce(1), "patterns"), kinds_of(rules))
 
 
 def judge(docs: DataFrame, text: str = "text", rules: Sequence = RULES, threshold: float = 0.5) -> DataFrame:
@@ -187,11 +206,12 @@ def judge(docs: DataFrame, text: str = "text", rules: Sequence = RULES, threshol
     named = with_votes(docs, text, rules)
     s, v = named.columns[-2:]
     held = stored(named.select(*[F.col(f"`{c}`") for c in rest], F.col(s), F.col(v)), "rules")
-    model = fit(stored(patterns(held, v).coalesce(1), "patterns"), len(rules))
-    p = model.posterior(F.col(v))
+    model = fit(stored(patterns(held, v).coalesce(1), "patterns"), kinds_of(rules))
+    p = model.posterior(v)
     failed = base_failed(s)
-    return held.select(*[F.col(f"`{c}`") for c in rest], F.col(s).alias("stats"), F.col(v).alias("votes"), p.alias("posterior"),
-                       failed.alias("base_failed"), (~failed & (p >= threshold)).alias("kept"))
+    named_as = lambda c: fresh(docs.drop(text), c)
+    return held.select(*[F.col(f"`{c}`") for c in rest], F.col(s).alias(named_as("stats")), F.col(v).alias(named_as("votes")),
+                       p.alias(named_as("posterior")), failed.alias(named_as("base_failed")), (~failed & (p >= threshold)).alias(named_as("kept")))
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: Sequence = RULES, threshold: float = 0.5) -> DataFrame:
@@ -205,5 +225,5 @@ def keep_good(docs: DataFrame, text: str = "text", rules: Sequence = RULES, thre
     # for each of its terms.
     row = fresh(named, "fl_row")
     judged = named.withColumn(row, F.monotonically_increasing_id()).filter(
-        (F.col(row) >= 0) & ~base_failed(s) & (model.posterior(F.col(v)) >= threshold))
+        (F.col(row) >= 0) & ~base_failed(s) & (model.posterior(v) >= threshold))
     return judged.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -54,16 +54,63 @@ def test_quality_rules_edges(spark, edge_docs, clashing, no_docs):
     judged = quality_rules.judge(edge_docs).collect()
     assert len(judged) == edge_docs.count()
     assert all(r.base_failed for r in judged if r.doc_id in (1, 2, 4, 5))
+    renamed = quality_rules.judge(clashing)
+    assert {"stats", "stats_", "votes", "votes_", "posterior"} <= set(renamed.columns) and renamed.count() == clashing.count()
     assert quality_rules.judge(no_docs).count() == 0 and quality_rules.keep_good(no_docs).count() == 0
 
 
-def test_em_separates_what_rules_know(spark):
-    """Two rules that fire on bad documents, one that fires on good ones."""
-    patterns = spark.createDataFrame([([-1, 0, 0], 60), ([0, -1, 0], 50), ([-1, -1, 0], 20), ([0, 0, 1], 800), ([0, 0, 0], 70)],
-                                     "votes array<int>, n long")
-    found = quality_rules.fit(patterns, 3)
-    p = {tuple(r.votes): r.p for r in patterns.withColumn("p", found.posterior(F.col("votes"))).collect()}
-    assert p[0, 0, 1] > 0.9 and p[0, 0, 0] > 0.5 and max(p[-1, 0, 0], p[0, -1, 0], p[-1, -1, 0]) < 0.5
+PATTERNS = {(1, 1, 1, 1): 8000, (-1, -1, 1, 1): 600, (1, 1, -1, -1): 300, (1, 1, 1, -1): 90, (1, 1, 0, -1): 8, (0, 0, 0, 0): 3, (-1, 1, 1, 1): 40,
+            (1, 1, 0, 1): 900, (-1, -1, -1, -1): 20}
+TWO_KINDS = ["a", "a", "b", "b"]
+
+
+def plain_em(patterns, kinds, rounds):
+    """By the definition, in NumPy."""
+    start = quality_rules.beliefs(kinds)
+    votes, n = np.array(list(patterns)), np.array(list(patterns.values()), float)
+    first_shares, first_rates = np.array(start.shares), np.array(start.rates)
+    shares, rates, weight = first_shares, first_rates, quality_rules.STRENGTH * n.sum()
+    for _ in range(rounds):
+        like = np.array([[s * np.prod(np.where(v == -1, r, np.where(v == 1, 1 - r, 1.0))) for s, r in zip(shares, rates, strict=True)] for v in votes])
+        c = like / like.sum(axis=1, keepdims=True) * n[:, None]
+        bad, voted = c.T @ (votes == -1), c.T @ (votes != 0)
+        shares, rates = (c.sum(axis=0) + weight * first_shares) / (n.sum() + weight), (bad + weight * first_rates) / (voted + weight)
+    like = np.array([[s * np.prod(np.where(v == -1, r, np.where(v == 1, 1 - r, 1.0))) for s, r in zip(shares, rates, strict=True)] for v in votes])
+    return {tuple(v.tolist()): p for v, p in zip(votes, like[:, 0] / like.sum(axis=1), strict=True)}, shares
+
+
+def posteriors(spark, patterns, **how):
+    df = spark.createDataFrame([(list(v), n) for v, n in patterns.items()], "votes array<int>, n long").coalesce(1)
+    found = quality_rules.fit(df, TWO_KINDS, **how)
+    return {tuple(r.votes): r.p for r in df.withColumn("p", found.posterior("votes")).collect()}, found
+
+
+def test_em_is_em_and_has_converged(spark):
+    got, found = posteriors(spark, PATTERNS)
+    for rounds in (20, 200, 1000):
+        want, shares = plain_em(PATTERNS, TWO_KINDS, rounds)
+        assert {v: p >= 0.5 for v, p in got.items()} == {v: p >= 0.5 for v, p in want.items()}
+    assert np.allclose(list(got.values()), list(want.values()), atol=1e-3) and np.allclose(found.shares, shares, atol=1e-3)
+    a_few, _ = posteriors(spark, PATTERNS, rounds=3, tolerance=0)
+    assert np.allclose(list(a_few.values()), list(plain_em(PATTERNS, TWO_KINDS, 3)[0].values()), atol=1e-9)
+    more, _ = posteriors(spark, {v: 1000 * n for v, n in PATTERNS.items()})
+    assert np.allclose(list(more.values()), list(got.values()), atol=1e-9)
+    good = sum(n for v, n in PATTERNS.items() if -1 not in v) / sum(PATTERNS.values())
+    assert abs(found.shares[0] - good) < 0.05
+
+
+def test_posterior_is_not_all_must_pass(spark):
+    """A lone bad vote is overruled where its kind's other rule says good; the
+    rules of a kind together reject, and a document without any vote stays."""
+    got, _ = posteriors(spark, PATTERNS)
+    assert got[-1, 1, 1, 1] > 0.5 and got[0, 0, 0, 0] > 0.5
+    assert max(got[-1, -1, 1, 1], got[1, 1, -1, -1], got[-1, -1, -1, -1]) < 0.1
+
+
+def test_verdicts_differ_from_all_must_pass(spark):
+    judged = quality_rules.judge(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")).collect()
+    held = [r for r in judged if not r.base_failed]
+    assert all(r.kept for r in held if -1 not in r.votes) and any(r.kept for r in held if -1 in r.votes) and any(not r.kept for r in held)
 
 
 def test_licenses(spark, texts):
