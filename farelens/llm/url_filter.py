@@ -5,7 +5,10 @@ and allows or blocks; of the rules that fit a url the longest decides. Urls
 that rules decide are the labelled urls. Spark ML's boosted trees learn lexical
 features: lengths, depth, digit ratio, entropy, number of parameters, and how
 often urls with the same ending of the host, alone and with the same first step
-of the path, are blocked. These statistics are counted over all labelled rows;
+of the path, are blocked. These statistics are counted over all labelled rows,
+for a row that the trees learn from without the hosts of its fold; half of these
+rows go without statistics, so that the trees also learn what decides for
+endings that no labelled url has;
 only the trees are fitted on a bounded sample (``max_train_rows``) of distinct
 urls, those with the smallest hashes of each verdict, weighted by their rows.
 The model judges the urls no rule fits. All steps are SQL expressions and
@@ -38,6 +41,7 @@ ENDINGS = ("suffix", "section")
 #: An ending that a larger part than 1 / OFTEN of the rows have is joined by
 #: broadcast; there are fewer than OFTEN of them, whatever the input.
 OFTEN = 1000
+FOLDS = 5
 
 
 def with_parts(pages: DataFrame) -> DataFrame:
@@ -118,10 +122,24 @@ def fit(labelled: DataFrame, max_train_rows: int = 20_000, trees: int = 10, dept
     held = {r["label"]: r for r in distinct.groupBy("label").agg(F.count("*").alias("urls"), F.sum("rows").alias("rows")).collect()}
     rows = sum(r["rows"] for r in held.values())
     overall = held[1.0]["rows"] / rows if 1.0 in held else 0.0
-    made = with_features(distinct)
-    endings = {name: stored(made.groupBy(name).agg(
-        ((F.sum(F.col("label") * F.col("rows")) + 5 * overall) / (F.sum("rows") + 5)).alias(f"{name}_blocked"), F.log1p(F.sum("rows")).alias(f"{name}_seen")), name)
-        for name in ENDINGS}
+    made = with_features(distinct).withColumn("fl_fold", F.pmod(F.xxhash64("host"), F.lit(FOLDS)))
+    by_fold = {name: stored(made.groupBy(name, "fl_fold").agg(F.sum(F.col("label") * F.col("rows")).alias("fl_b"), F.sum("rows").alias("fl_n")), f"{name}_folds")
+               for name in ENDINGS}
+    sums = {name: rows.groupBy(name).agg(F.sum("fl_b").alias("fl_b"), F.sum("fl_n").alias("fl_n")) for name, rows in by_fold.items()}
+    rates = lambda name, b, n: [((b + 5 * overall) / (n + 5)).alias(f"{name}_blocked"), F.log1p(n).alias(f"{name}_seen")]
+    endings = {name: stored(sums[name].select(name, *rates(name, F.col("fl_b"), F.col("fl_n"))), name) for name in ENDINGS}
+
+    def left_out(sample: DataFrame) -> DataFrame:
+        """The sample's statistics, each row's without the hosts of its fold;
+        half of the urls go without any, as if their endings were new."""
+        sample = sample.withColumn("fl_fold", F.pmod(F.xxhash64("host"), F.lit(FOLDS))).withColumn("fl_new", F.pmod(F.xxhash64("url", F.lit("new")), F.lit(2)) == 0)
+        for name in ENDINGS:
+            own = by_fold[name].select(name, "fl_fold", F.col("fl_b").alias("fl_own_b"), F.col("fl_n").alias("fl_own_n"))
+            sample = sample.join(sums[name], name).join(own, [name, "fl_fold"])
+            other = lambda c: F.when(F.col("fl_new"), 0.0).otherwise(F.col(f"fl_{c}") - F.col(f"fl_own_{c}"))
+            sample = sample.select("*", *rates(name, other("b"), other("n"))).drop("fl_b", "fl_n", "fl_own_b", "fl_own_n")
+        return sample.drop("fl_fold", "fl_new")
+
     judge = Judge(endings, overall, None, "block" if overall > 0.5 else "allow")
     if len(held) == 2:
         # Half of the sample for each verdict, and what the other leaves.
@@ -134,7 +152,7 @@ def fit(labelled: DataFrame, max_train_rows: int = 20_000, trees: int = 10, dept
         # Each verdict weighs as much as in all labelled rows.
         share = F.when(F.col("label") == 1, held[1.0]["rows"] / drawn[1.0]).otherwise(held[0.0]["rows"] / drawn[0.0])
         weight = F.col("rows") * share * (sum(drawn.values()) / rows)
-        ready = stored(_assembled(judge.with_endings(sample)).select("features", "label", weight.alias("weight")), "features")
+        ready = stored(_assembled(left_out(sample)).select("features", "label", weight.alias("weight")), "features")
         judge.model = GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=32, stepSize=0.3, seed=7, cacheNodeIds=False, weightCol="weight").fit(ready)
     return judge
 
