@@ -36,6 +36,8 @@ ZOOM_MAX_DISTANCE_KM, ZOOM_MAX_FARE = 30.0, 100.0
 EARTH_RADIUS_KM = 6371.0
 GRID_N_LON, GRID_N_LAT = 200, 200
 DEFAULT_ROW_CAP = 400
+# Own choice: zoom 3 of the pyramid is the 200 x 200 grid, zoom 6 has cells of 1/1600.
+PYRAMID_CELLS, PYRAMID_ZOOMS = 25, 7
 HIST_BINS = 50
 HIST_BINS_NOTEBOOK = 2
 

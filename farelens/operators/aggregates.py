@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import GRID_N_LAT, GRID_N_LON, HIST_BINS, NYC_BB, grid_constants
+from ..constants import GRID_N_LAT, GRID_N_LON, HIST_BINS, NYC_BB, PYRAMID_CELLS, PYRAMID_ZOOMS, grid_constants
 from ..functions.geo import digitize, log_density
 from .zones import tag_zones
 
@@ -97,6 +97,44 @@ def density_grid(df: DataFrame, bb=NYC_BB, n_lon: int = GRID_N_LON, n_lat: int =
         F.lit(g["cell_area_km2"]).alias("cell_area_km2"))
 
 
+def density_pyramid(df: DataFrame, zooms: int = PYRAMID_ZOOMS, coarsest: int = PYRAMID_CELLS, bb=NYC_BB) -> DataFrame:
+    """A6/D5 at many zooms: (zoom, side, row, col, cnt), occupied cells only.
+
+    Zoom z has ``coarsest`` * 2 ** z cells each way. Rides are counted once, on
+    the finest grid; four cells of a zoom make one of the zoom before, so all
+    others are sums of these counts, whose number the grid bounds. As steps
+    differ by powers of two, the edges of a zoom are edges of the finer ones to
+    the last bit, and every zoom equals a count of its own.
+    """
+    if zooms < 1 or coarsest < 1:
+        raise ValueError("zooms and coarsest must be at least 1")
+    finest = coarsest << (zooms - 1)
+    cells = density_grid(df, bb, finest, finest).select("side", "row", "col", "cnt")
+    up = [F.struct(F.lit(z).alias("zoom"), *[F.expr(f"CAST(shiftright({c}, {zooms - 1 - z}) AS INT)").alias(c) for c in ("row", "col")]) for z in range(zooms)]
+    each = cells.select("side", "cnt", F.explode(F.array(*up)).alias("c"))
+    return merge_pyramids(each.select("c.zoom", "side", "c.row", "c.col", "cnt"))
+
+
+def merge_pyramids(*pyramids: DataFrame) -> DataFrame:
+    """The pyramid of all rides of several stores or days, from their pyramids."""
+    both = pyramids[0]
+    for p in pyramids[1:]:
+        both = both.unionByName(p)
+    return both.groupBy("zoom", "side", "row", "col").agg(F.sum("cnt").alias("cnt"))
+
+
+def pyramid_view(pyramid: DataFrame, zoom: int, frame=NYC_BB, coarsest: int = PYRAMID_CELLS, bb=NYC_BB) -> DataFrame:
+    """D4/D5 from a pyramid over ``bb``: the cells of one zoom that a map
+    ``frame`` meets, with the density a cell area gives and log(1 + density)."""
+    n = coarsest << zoom
+    g = grid_constants(bb, n, n)
+    west, south = g["lon0"] + F.col("col") * g["dlon"], g["lat0"] + (n - 1 - F.col("row")) * g["dlat"]
+    meets = (west <= frame[1]) & (west + g["dlon"] > frame[0]) & (south <= frame[3]) & (south + g["dlat"] > frame[2])
+    density = F.col("cnt") / F.lit(g["cell_area_km2"])
+    return pyramid.filter((F.col("zoom") == zoom) & meets).select(
+        "side", "row", "col", "cnt", density.alias("density"), log_density(density).alias("log_density"))
+
+
 def _bin_estimate(v: Column, lo: Column, hi: Column, bins: int) -> Column:
     est = F.floor((v - lo) / (hi - lo) * F.lit(bins)).cast("int")
     return F.when(est >= bins, F.lit(bins - 1)).when(est < 0, F.lit(0)).otherwise(est)

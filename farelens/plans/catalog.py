@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import (GRID_N_LAT, GRID_N_LON, HIST_BINS, HIST_BINS_NOTEBOOK, NYC_BB, NYC_BB_ZOOM,
+from ..constants import (GRID_N_LAT, GRID_N_LON, HIST_BINS, HIST_BINS_NOTEBOOK, NYC_BB, NYC_BB_ZOOM, PYRAMID_CELLS, PYRAMID_ZOOMS,
                          ZONES, grid_constants)
 from ..functions.calendar import add_calendar_features, midnight_rides, rush_hour_rides, snow_season_rides
 from ..functions.color import fare_color
@@ -25,6 +25,7 @@ from ..operators.clean import (clean_rides, cleaning_report, drop_missing, drop_
 from ..operators.zones import (area_sql, box_filter, extent_clip, inside_nyc, outside_nyc, tag_zones, tag_zones_with,
                                zone_rides, zones_frame)
 from ..session import scratch_path
+from ..sources.clustered import write_rides_clustered
 from ..sources.fixtures import load_rides, read_table
 from ..sources.keyed_store import KeyedStore
 from ..sources.rides import (CSV_TS_FORMAT, RIDE_COLUMNS, cap_rows, cap_rows_spread, count_rows, drop_columns, good_rides, parse_rides,
@@ -357,15 +358,15 @@ def q_avg_all(spark, sf):
     return r6(agg.avg_fare_all(cleaned(spark, sf)), "avg_fare")
 
 
-def _density_cte() -> str:
-    g = grid_constants()
+def _density_cte(n_lon: int = GRID_N_LON, n_lat: int = GRID_N_LAT, name: str = "grid") -> str:
+    g = grid_constants(NYC_BB, n_lon, n_lat)
     pts = ("SELECT 'pickup' AS side, pickup_longitude AS lon, pickup_latitude AS lat FROM clean "
            "UNION ALL SELECT 'dropoff', dropoff_longitude, dropoff_latitude FROM clean")
-    idx = (f"SELECT side, {q.digitize('lon', g['lon0'], g['dlon'], GRID_N_LON)} AS ix, "
-           f"{q.digitize('lat', g['lat0'], g['dlat'], GRID_N_LAT)} AS iy FROM ({pts})")
-    return (f"grid AS (SELECT side, CAST({GRID_N_LAT} - iy AS INTEGER) AS row, CAST(ix - 1 AS INTEGER) AS col, "
+    idx = (f"SELECT side, {q.digitize('lon', g['lon0'], g['dlon'], n_lon)} AS ix, "
+           f"{q.digitize('lat', g['lat0'], g['dlat'], n_lat)} AS iy FROM ({pts})")
+    return (f"{name} AS (SELECT side, CAST({n_lat} - iy AS INTEGER) AS row, CAST(ix - 1 AS INTEGER) AS col, "
             f"count(*) AS cnt, count(*) / {q.d(g['cell_area_km2'])} AS density FROM ({idx}) "
-            f"WHERE ix BETWEEN 1 AND {GRID_N_LON} AND iy BETWEEN 1 AND {GRID_N_LAT} GROUP BY side, ix, iy)")
+            f"WHERE ix BETWEEN 1 AND {n_lon} AND iy BETWEEN 1 AND {n_lat} GROUP BY side, ix, iy)")
 
 
 def _density_sql() -> str:
@@ -753,9 +754,48 @@ def q_apply_changes(spark, sf):
     return chg.apply_changes(_customers(spark, sf), _changes(spark, sf), KEY)
 
 
+# ---------------------------------------------------------------- maps at many zooms
+
+
+def _pyramid_sql() -> str:
+    """Every zoom counted by itself."""
+    sizes = [PYRAMID_CELLS << z for z in range(PYRAMID_ZOOMS)]
+    counts = [f"SELECT {z} AS zoom, side, row, col, cnt FROM grid{z}" for z in range(PYRAMID_ZOOMS)]
+    return q.with_(q.RIDES, q.CLEAN, *[_density_cte(n, n, f"grid{z}") for z, n in enumerate(sizes)]) + " UNION ALL ".join(counts)
+
+
+@register("density_pyramid", _pyramid_sql())
+def q_density_pyramid(spark, sf):
+    return agg.density_pyramid(cleaned(spark, sf))
+
+
+@register("density_pyramid_view", q.with_(q.RIDES, q.CLEAN, _density_cte()) +
+          "SELECT side, row, col, cnt, round(density, 6) AS density, round(ln(1 + density), 6) AS log_density FROM grid")
+def q_density_pyramid_view(spark, sf):
+    """The 200 x 200 grid read from the merged pyramids of the rides of even and odd hours."""
+    halves = [agg.density_pyramid(cleaned(spark, sf).filter(F.col("hour") % 2 == k)) for k in (0, 1)]
+    return r6(agg.pyramid_view(agg.merge_pyramids(*halves), zoom=3), "density", "log_density")
+
+
 # ---------------------------------------------------------------- stored results
 
 
+def _clustered_rides(spark, sf, side: str) -> DataFrame:
+    path = scratch_path(spark, "clustered")
+    write_rides_clustered(rides(spark, sf), path, side)
+    return spark.read.parquet(path)
+
+
+@register("clustered_zone_manhattan", ORACLE["zone_manhattan"])
+def q_clustered_zone(spark, sf):
+    return zone_rides(_clustered_rides(spark, sf, "pickup"), "manhattan")
+
+
+@register("clustered_box_filter", ORACLE["box_filter"])
+def q_clustered_box(spark, sf):
+    return box_filter(_clustered_rides(spark, sf, "dropoff"), NYC_BB_ZOOM)
+
+
 def _stored_customers(spark, sf) -> KeyedStore:
     return KeyedStore.create(_customers(spark, sf), scratch_path(spark, "customers"), KEY, buckets=16)
 
@@ -797,6 +837,16 @@ def q_stream_avg_update(spark, sf):
     return r6(ep.merge_updates(hourly, ["hour"], ep.EpochLog(spark, hourly.schema)).read(), "avg_fare")
 
 
+@register("stream_zone_tags", ORACLE["zone_tags_join"])
+def q_stream_zone_tags(spark, sf):
+    """T3 against a stored zone table, reread for each of several micro-batches."""
+    path = scratch_path(spark, "zones")
+    zones_frame(spark).write.parquet(path)
+    stream = rs.read_rides_stream(spark, _delivered(spark, sf, 1), max_files_per_trigger=1, ntz=True)
+    log = ep.tag_with_zone_table(stream, lambda s: s.read.parquet(path), ep.EpochLog(spark, ep.tagged_schema(stream)))
+    return log.read().select("key", "zone")
+
+
 @register("stream_once_per_key", ORACLE["stream_ingest"])
 def q_stream_once(spark, sf):
     """Every file delivered twice; a time span that holds the whole table."""

@@ -1,4 +1,4 @@
-"""An epoch log: how results of a stream are published.
+"""An epoch log: how results of a stream are published.
 
 Every entry names a folder of Parquet files and is one small file that Spark's
 committer publishes whole, after the data. Readers follow the log, so that what
@@ -14,6 +14,7 @@ table.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.clean import cleaning_steps, report_of, survivors
+from ..operators.zones import tag_zones_with
 from ..session import scratch_path
 
 _ENTRY = "epoch long, path string, kind string"
@@ -107,6 +109,28 @@ def merge_updates(changed: DataFrame, keys: list[str], log: EpochLog, checkpoint
     return log
 
 
+def tag_with_zone_table(stream: DataFrame, zones: Callable[[SparkSession], DataFrame], log: EpochLog, side: str = "pickup",
+                        checkpoint: str | None = None) -> EpochLog:
+    """T3 against a zone table (zone, lon_min, lon_max, lat_min, lat_max): one row
+    per ride and zone that holds it, joined on grid cells as in the batch.
+
+    ``zones`` reads the table and is called for every micro-batch, so a zone
+    added or changed counts from the next micro-batch on; epochs that are in
+    the log stay as they are, also when they are delivered again. ``log`` has
+    the schema ``tagged_schema``.
+    """
+
+    def one(batch: DataFrame, epoch: int) -> None:
+        log.commit(epoch, tag_zones_with(batch, zones(batch.sparkSession), side))
+
+    _run(stream.writeStream.foreachBatch(one), checkpoint, log.spark)
+    return log
+
+
+def tagged_schema(df: DataFrame) -> T.StructType:
+    return T.StructType([*df.schema.fields, T.StructField("zone", T.StringType())])
+
+
 def clean_and_report(stream: DataFrame, kept: EpochLog, report: EpochLog, with_box: bool = True, checkpoint: str | None = None) -> None:
     """C4 and C5 on a stream in one pass: the rows that pass all steps go to
     ``kept``, and the counts after each step, observed on the way, to
@@ -141,7 +165,7 @@ def once_per_key(stream: DataFrame, key: str = "key", time: str = "pickup_dateti
     """T1 with files delivered again: the first row of every ``key`` passes,
     its repeats within ``late`` of event time do not. State holds a key until the
     watermark has passed it by ``late``; rows that come later than that are
-dropped, as nothing tells whether they are repeats. Of rows without a time
+    dropped, as nothing tells whether they are repeats. Of rows without a time
     the first of every key passes too; state holds their keys for good."""
     at = f"_{time}"
     timed = stream.filter(F.col(time).isNotNull()).withColumn(at, F.col(time).cast("timestamp"))
