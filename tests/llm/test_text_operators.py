@@ -361,8 +361,58 @@ def test_bootstrap_finds_unseen_identifiers(spark):
     assert all(found[100 + i] == ["other"] for i in range(5)) and all(found[i] == ["ip"] for i in range(60))
 
 
+def test_bootstrap_finds_other_forms(spark):
+    """What stands where phones stand is found whatever its form; the same
+    tokens in unlike contexts, and numbers that stand everywhere, are not."""
+    rows = [(i, f"Please call +1 555-123-{4000 + i} today, as in {2000 + i % 20} we moved.") for i in range(60)]
+    forms = ["555-123-9999", "(555) 123-9999", "AB-123", "2007", "x7"]
+    gap = " " * 500
+    rows += [(100 + k, f"Please{gap}call {f}\ttoday!") for k, f in enumerate(forms)]
+    rows += [(200 + k, f"Please paint {f} twice and then rest.") for k, f in enumerate(forms)]
+    texts = dict(rows)
+    found = {r.doc_id: [(s["kind"], texts[r.doc_id][s["start"]:s["end"]]) for s in r.spans]
+             for r in personal_data.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all([k for k, _ in found[i]] == ["phone"] for i in range(60))
+    assert [found[100 + k] for k in range(5)] == [[("other", f)] for f in forms]
+    assert all(found[200 + k] == [] for k in range(5))
+
+
+def test_bootstrap_scores_are_brute_force(spark, texts):
+    edges = {}
+    for t in texts.values():
+        for _, _, instance, patterns, seed in personal_data.mentions(t, personal_data.base_spans(t)):
+            for p in patterns:
+                edges[p, instance] = edges.get((p, instance), False) or seed
+    belief = {}
+    for k in range(3):
+        totals, means = {}, {}
+        for (p, i), seed in edges.items():
+            n, total = totals.get(p, (0, 0.0))
+            totals[p] = n + 1, total + belief.get(i, float(seed))
+        sure = {p: total / (n + 2) for p, (n, total) in totals.items()}
+        for (p, i), seed in edges.items():
+            means.setdefault(i, []).append(sure[p])
+        seeds = {i for (_, i), seed in edges.items() if seed}
+        belief = {i: 1.0 if i in seeds else sum(m) / len(m) for i, m in means.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    single = personal_data.extract(docs).select(F.explode("mentions").alias("m"))
+    got = {r.pattern: r.sure for r in personal_data.bootstrap(personal_data.pattern_edges(single).cache(), least=0.0).collect()}
+    assert got == pytest.approx(sure)
+
+
+def test_places(spark):
+    at = lambda t: [t[a:b] for a, b, _, _, seed in personal_data.mentions(t, personal_data.base_spans(t)) if not seed]
+    assert at("in 2019, 12 34 men (555) 1-2 [7] x") == ["2019", "12 34", "(555) 1-2 [7"]
+    assert at("a 1\n2 b") == ["1", "2"] and at("no digits") == [] and at("mail a@b.cd5 or 5") == ["5"]
+    long = "x@y.zz1," * 20_000
+    assert len(personal_data.mentions(long, personal_data.base_spans(long))) >= 1
+    assert personal_data.mentions("9" * 200_000 + " " + "a1" * 100_000, [])
+
+
 def test_personal_data_edges(spark, clashing, no_docs):
     assert personal_data.find(clashing.select("doc_id", "text")).count() == clashing.count()
+    found = personal_data.find(clashing)
+    assert set(found.columns) == {*clashing.columns, "spans_"} - {"text"} and found.count() == clashing.count()
     masked = personal_data.mask(clashing)
     rows = masked.collect()
     assert masked.columns == clashing.columns and len(rows) == clashing.count()
