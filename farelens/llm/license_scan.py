@@ -1,21 +1,24 @@
 """License scans: exact set-similarity join of text blocks with templates.
 
 Texts are read as runs of words in overlapping blocks, wide enough that any
-passage as long as the longest template lies whole in one of them. A block
-matches a template when it holds at least ``LEAST`` of the template's
-distinct words (containment). Only words of some template can count, so a
-block is the set of those.
-
-The join is the usual exact one. Words are ordered by the number of blocks of
+passage as long as the longest template lies whole in one of them. Their
+tokens are pairs of words that follow each other, so that the words of a notice
+count in its own order only. A block matches a template when it holds at least
+``LEAST`` of the template's distinct pairs (containment) and all pairs of the
+license's name: near relatives share most of a notice, but not the name. Only
+pairs of some template can count, so a block is the set of those; a pair lies
+where its first word does.
+
+The join is the usual exact one. Pairs are ordered by the number of blocks of
 the whole corpus that hold them, rarest first. With ``need`` =
 ceil(LEAST * |template|), a match shares one of the first |set| - need + 1
-words on either side (prefix), has at least ``need`` words (length), and from
-the places of the shared word on enough words must be left on both sides
+pairs on either side (prefix), has at least ``need`` pairs (length), and from
+the places of the shared pair on enough pairs must be left on both sides
 (position). What passes is counted exactly.
 
 One pass over the texts yields the base phrases, the blocks that pass the
-length filter and, for each template word, the number of blocks that hold it;
-the corpus reaches the driver only as these counts (one per template word).
+length filter and, for each template pair, the number of blocks that hold it;
+the corpus reaches the driver only as these counts (one per template pair).
 Templates are a parameter; their list, not the corpus, bounds what is
 broadcast.
 
@@ -39,22 +42,33 @@ from farelens.llm.common import stored
 
 LEAST = 0.8
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
-#: (label, notice). Words as in texts; a notice stands for its set of words.
+#: (label, notice, name). Words as in texts; a notice stands for its set of
+#: pairs, all pairs of the name are compulsory. Fixed values.
 TEMPLATES = (
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", "licensed under the gnu lesser general public license version 3"),
-    ("agpl", "licensed under the gnu affero general public license version 3"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("cc-by", "licensed under cc by 4 0"),
-    ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("mpl", "subject to the terms of the mozilla public license v 2 0"),
-    ("public-domain", "this is free and unencumbered software released into the public domain"),
+    ("gpl", "this work is licensed under the gnu general public license version 3", "gnu general public license"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license "
+            "as published by the free software foundation", "gnu general public license"),
+    ("lgpl", "licensed under the gnu lesser general public license version 3", "gnu lesser general public license"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license "
+             "as published by the free software foundation", "gnu lesser general public license"),
+    ("agpl", "licensed under the gnu affero general public license version 3", "gnu affero general public license"),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license "
+             "as published by the free software foundation", "gnu affero general public license"),
+    ("apache", "licensed under the apache license version 2 0", "apache license"),
+    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license "
+               "you may obtain a copy of the license at", "apache license"),
+    ("mit", "released under the mit license", "mit license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+            "the software to deal in the software without restriction", "free of charge to any person"),
+    ("cc-by", "licensed under cc by 4 0", "cc by"),
+    ("cc-by", "licensed under a creative commons attribution 4 0 international license", "attribution 4 0"),
+    ("cc-by-nc", "licensed under cc by nc 4 0", "by nc 4 0"),
+    ("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license", "attribution noncommercial 4 0"),
+    ("cc-by-sa", "licensed under cc by sa 4 0", "by sa 4 0"),
+    ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license", "attribution sharealike 4 0"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms"),
+    ("mpl", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
+    ("public-domain", "this is free and unencumbered software released into the public domain", "released into the public domain"),
 )
 
 #: A-Z to a-z; what is in no word to blanks.
@@ -83,25 +97,34 @@ def phrase_places(found: list[bytes], phrases=BASE) -> list[tuple[int, str]]:
     return out
 
 
+def pairs(found: list[bytes]) -> list[tuple[bytes, bytes]]:
+    return list(zip(found, found[1:]))
+
+
 def need(size: int, least: float = LEAST) -> int:
-    """Words of a template of ``size`` that a block must hold."""
+    """Pairs of a template of ``size`` that a block must hold."""
     return max(1, -int(-(size * round(least * 1000)) // 1000))
 
 
 class Scanner:
     def __init__(self, templates: tuple, least: float) -> None:
-        sets = [frozenset(words(t)) for _, t in templates]
-        self.vocabulary = {w: k for k, w in enumerate(sorted(frozenset().union(*sets)))}
+        sets = [frozenset(pairs(words(t))) for _, t, _ in templates]
+        if not all(sets):
+            raise ValueError("a template needs two words at least")
+        self.vocabulary = {p: k for k, p in enumerate(sorted(frozenset().union(*sets)))}
+        self.after: dict[bytes, dict[bytes, int]] = {}
+        for (first, second), k in self.vocabulary.items():
+            self.after.setdefault(first, {})[second] = k
         self.fewest = min(need(len(s), least) for s in sets)
-        self.stride = max(len(words(t)) for _, t in templates)
+        self.stride = max(len(words(t)) for _, t, _ in templates)
 
     def blocks(self, found: list[bytes]) -> tuple[dict[int, set[int]], Counter]:
         """Blocks by number (block k: from word k * stride, two strides) with
-        their template words, and how many blocks hold each word."""
+        their template pairs, and how many blocks hold each pair."""
         out: dict[int, set[int]] = {}
-        get, stride = self.vocabulary.get, self.stride
+        get, stride, last = self.after.get, self.stride, len(found) - 1
         for at, w in enumerate(found):
-            if (k := get(w)) is not None:
+            if (nexts := get(w)) is not None and at < last and (k := nexts.get(found[at + 1])) is not None:
                 b = at // stride
                 out.setdefault(b, set()).add(k)
                 if b:
@@ -150,18 +173,18 @@ def read(docs: DataFrame, templates=TEMPLATES, least: float = LEAST, base=BASE)
 
 def match(blocks: DataFrame, frequency: dict[int, int], templates=TEMPLATES, least: float = LEAST) -> DataFrame:
     """``blocks`` (row, block, words) joined with the templates: row, block,
-    label, score and the template words it holds (``held``, as numbers), one
+    label, score and the template pairs it holds (``held``, as numbers), one
     row per match."""
     spark = blocks.sparkSession
     scan = scanner(tuple(templates), least)
     ranked = sorted(scan.vocabulary.values(), key=lambda w: (frequency.get(w, 0), w))
     rank = {w: r for r, w in enumerate(ranked)}
     rows = []
-    for number, (label, text) in enumerate(templates):
-        held = sorted(rank[scan.vocabulary[w]] for w in set(words(text)))
+    for number, (label, text, name) in enumerate(templates):
+        held, named = (sorted(rank[scan.vocabulary[w]] for w in set(pairs(words(t)))) for t in (text, name))
         for place, r in enumerate(held[:len(held) - need(len(held), least) + 1]):
-            rows.append((r, place, number, label, held, need(len(held), least)))
-    index = spark.createDataFrame(rows, "word int, t_place int, template int, label string, t_words array<int>, need int")
+            rows.append((r, place, number, label, held, need(len(held), least), named))
+    index = spark.createDataFrame(rows, "word int, t_place int, template int, label string, t_words array<int>, need int, named array<int>")
     order = F.create_map(*[F.lit(x) for w, r in rank.items() for x in (w, r)])
     sets = blocks.select("row", "block", F.array_sort(F.transform("words", lambda w: order[w])).alias("words"))
     entries = sets.select("row", "block", "words", F.posexplode("words").alias("b_place", "word"))
@@ -170,20 +193,20 @@ def match(blocks: DataFrame, frequency: dict[int, int], templates=TEMPLATES, lea
     near = entries.join(F.broadcast(index), "word").filter(
         (F.size("words") >= F.col("need")) & (F.col("b_place") <= F.size("words") - F.col("need")) & (left >= F.col("need")))
     shared = F.array_intersect("words", "t_words")
-    return near.withColumn("held", shared).filter("size(held) >= need").select(
+    return near.withColumn("held", shared).filter("size(held) >= need AND size(array_except(named, held)) = 0").select(
         "row", "block", "template", "label", (F.size("held") / F.size("t_words")).alias("score"), "held").distinct()
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, least: float = LEAST, base=BASE) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, ``base``, ``matches``, an array
     of (first word, last word, label, score, held) of every matching block, and
-    ``best``, those whose words no better match explains. A notice also holds
-    most words of its nearest relatives: a match falls only to one in ``best``
-    that overlaps it, scores more and holds all the template words it holds."""
+    ``best``, those whose pairs no better match explains. A notice can hold a
+    shorter one of a relative: a match falls only to one in ``best`` that
+    overlaps it, scores more and holds all the template pairs it holds."""
     stride = scanner(tuple(templates), least).stride
     held = stored(read(docs, templates, least, base).withColumn("row", F.monotonically_increasing_id()), "blocks")
     counts = held.select(F.explode("counts").alias("c")).groupBy("c.word").agg(F.sum("c.n").alias("n"))
-    frequency = {r["word"]: r["n"] for r in counts.collect()}  # a row per template word at most
+    frequency = {r["word"]: r["n"] for r in counts.collect()}  # a row per template pair at most
     blocks = held.select("row", F.explode("blocks").alias("b")).select("row", "b.block", "b.words")
     first = F.col("block") * stride
     found = match(blocks, frequency, templates, least).groupBy("row").agg(F.array_sort(F.collect_list(

@@ -93,9 +93,16 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Slot]:
     return slots
 
 
+#: Columns that ``pieces`` and ``place`` add.
+MADE = ("piece", "start", "length", "ids", "ids_crc32", "sequence_id", "offset")
+
+
 def pieces(docs: DataFrame, path: str, text: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """Per piece: the other columns of ``docs``, ``piece``, ``start``,
-    ``length`` and ``ids`` (little-endian unsigned 32-bit)."""
+    ``length`` and ``ids`` (little-endian unsigned 32-bit). A column of ``docs``
+    that is named like one made here or in ``place`` gets underscores."""
+    for c in [c for c in docs.columns if c != text and c.lower() in MADE]:
+        docs = docs.withColumnRenamed(c, fresh(docs, c + "_"))
     rest = [c for c in docs.columns if c != text]
     stop = packed([end])
 

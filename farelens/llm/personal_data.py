@@ -173,7 +173,7 @@ def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, in
         left = word(i) if i < 0 or ends[i] <= start else _near(text[max(starts[i], before):start] or "|")
         right = word(j) if j == len(tokens) or starts[j] >= end else _near(text[end:min(ends[j], after)] or "|")
         patterns = [f"{sort} {a} {b}" for sort, a, b in (("LL", word(i - 1), left), ("LR", left, right), ("RR", right, word(j + 1)))
-                    if not (a in ("^", "$") and b in ("^", "$"))]
+                    if any(map(str.isalnum, a + b))]  # marks alone say nothing
         token = text[start:end]
         out.append((start, end, token, [*patterns, SHAPE + shape(token)], seed))
     return out
