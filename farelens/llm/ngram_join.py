@@ -303,6 +303,14 @@ def _index(held: DataFrame, vertices: DataFrame) -> DataFrame:
 def link(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) to one row a row: doc_id, n_shingles,
     component_id."""
+    return classes(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def classes(docs: DataFrame, whole_ids: bool = True) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, its set (n, s1, s2), the
+    component (a number; null for empty sets) and component_id. Rows that share
+    a doc_id are one document, or, without ``whole_ids``, linked only where
+    their sets are."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     held = stored(docs.mapInArrow(_summarised, "doc_id long, n long, s1 long, s2 long, low array<long>, parity binary")
@@ -311,7 +319,7 @@ def link(docs: DataFrame) -> DataFrame:
     vertices = stored(known.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("row").alias("v"), F.min("doc_id").alias("least")), "vertices")
     index = stored(_index(known, vertices.select("n", "s1", "s2", "v")), "index")
     # Rows of one document: their vertices belong together from the start.
-    several = known.filter("n > 0").select("doc_id", "n", "s1", "s2").join(
+    several = known.filter("n > 0" if whole_ids else "false").select("doc_id", "n", "s1", "s2").join(
         known.groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1").select("doc_id"), "doc_id")
     several = several.join(vertices.select("n", "s1", "s2", "v"), ["n", "s1", "s2"])
     links = stored(several.join(several.groupBy("doc_id").agg(F.min("v").alias("a")), "doc_id")
@@ -350,24 +358,44 @@ def link(docs: DataFrame) -> DataFrame:
         allowed *= 16
     member = vertices.join(joined, "v", "left").withColumn("component", F.coalesce("component", "v"))
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = member.join(least, "component").select("n", "s1", "s2", "component_id")
+    named = member.join(least, "component").select("n", "s1", "s2", "component", "component_id")
     return held.join(named, ["n", "s1", "s2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", "n", "s1", "s2", "component",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def _digested(docs: DataFrame, names: tuple[str, str, str]) -> DataFrame:
+    """``docs`` plus the size and digest of each text's set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(_hashes)
+        for b in batches:
+            sets = [shingles(t) for t in b.column("text").to_pylist()]
+            sig = [np.frombuffer(digest(s), np.int64).tolist() for s in sets]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([len(s) for s in sets], pa.int64()), *[pa.array([s[k] for s in sig], pa.int64()) for k in (0, 1)]],
+                                             names=[*b.schema.names, *names])
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
+    return docs.mapInArrow(run, ", ".join([*fields, *[f"`{n}` long" for n in names]]))
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: that with the smallest
-    id. Rows that repeat a kept id leave one row, the one with the smallest
-    text; rows with a null id all stay."""
-    linked = stored(link(docs).filter("doc_id IS NOT NULL"), "linked")
+    """``docs`` with one row of each component of linked texts: of the rows with
+    its smallest id, the one with the smallest text. Rows that share an id but
+    whose texts do not link are different documents; of rows of one id without
+    words one stays; rows with a null id all stay."""
+    linked = stored(classes(docs, whole_ids=False).filter("doc_id IS NOT NULL"), "linked")
     marks = linked.groupBy("doc_id").agg(F.min((F.col("component_id") == F.col("doc_id")).cast("int")).alias("first"), F.count("*").alias("rows"))
-    marks = marks.filter("first = 0 OR rows > 1")
-    first, rows, rank = (fresh(docs, n) for n in ("fl_first", "fl_rows", "fl_rank"))
-    marks = stored(marks.select("doc_id", F.col("first").alias(first), F.col("rows").alias(rows)), "marks")
+    first, rows, n, s1, s2, component = (fresh(docs, f"fl_{c}") for c in ("first", "rows", "n", "s1", "s2", "component"))
+    marks = stored(marks.filter("first = 0 OR rows > 1").select("doc_id", F.col("first").alias(first), F.col("rows").alias(rows)), "marks")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     perhaps, surely = sifted(docs, marks, "doc_id")  # the texts of most rows stay where they are
     single = surely.unionByName(perhaps.join(marks, "doc_id", "left").filter(F.col(first).isNull()).select(*columns))
-    again = perhaps.join(marks.filter(f"`{first}` = 1"), "doc_id").withColumn(
-        rank, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("`text`").asc_nulls_first(), *[F.col(f"`{c}`") for c in DOCUMENTS[2:] if c in docs.columns])))
-    return single.unionByName(again.filter(f"`{rank}` = 1").select(*columns))
+    # Where an id repeats, its rows go by their sets.
+    repeated = marks.filter(F.col(rows) > 1).select("doc_id")
+    chosen = linked.filter("component_id = doc_id").join(repeated, "doc_id").select(
+        "doc_id", F.col("n").alias(n), F.col("s1").alias(s1), F.col("s2").alias(s2), F.coalesce("component", F.lit(-1)).alias(component)).distinct()
+    again = _digested(perhaps.join(repeated, "doc_id", "left_semi").select(*columns), (n, s1, s2)).join(chosen, ["doc_id", n, s1, s2])
+    order = F.struct(F.col("`text`"), *[F.col(f"`{c}`") for c in DOCUMENTS[2:] if c in docs.columns])
+    # An aggregate with partial results: an id may hold a third of all rows.
+    least = again.groupBy("doc_id", component).agg(F.min_by(F.struct(*columns), order).alias(first))
+    return single.unionByName(least.select(f"`{first}`.*"))

@@ -121,6 +121,12 @@ def test_packing(spark, texts):
     check_packed(result(spark, "op2_best_fit_packing"), texts)
 
 
+def test_packing_keeps_clashing_columns(spark, clashing):
+    taken = clashing.withColumn("offset", F.lit("o")).withColumn("ids", F.lit("i"))
+    made = packing.place(packing.pieces(taken, public_tokenizers.path("word_bpe_49k.json")).drop("ids"))
+    assert {"length", "length_", "offset", "offset_", "ids_"} <= set(made.columns) and {r.length_ for r in made.collect()} == {"x5"}
+
+
 def test_packing_edges(spark, edge_docs, no_docs):
     pieces = packing.pieces(edge_docs.select("doc_id", "text"), WORD)
     rows = packing.place(pieces.drop("ids")).collect()
@@ -204,7 +210,18 @@ def test_join_edges(spark, clashing, no_docs):
     assert {c for _, c in by[None]} == {None}
     kept = ngram_join.keep_first(clashing)
     ids = [r.doc_id for r in kept.collect()]
-    assert kept.columns == clashing.columns and ids.count(2) == 1 and ids.count(3) == 1 and ids.count(None) == 2 and not {7, 8} & set(ids)
+    assert kept.columns == clashing.columns and ids.count(2) == 1 and ids.count(3) == 2 and ids.count(None) == 2 and not {7, 8} & set(ids)
+
+
+def test_unlike_texts_of_an_id_stay(spark):
+    """One row of each component of texts stays, whatever their ids."""
+    other = " ".join(f"other{i}" for i in range(40))
+    rows = [(1, PROSE), (1, other), (1, PROSE + "Also."), (1, PROSE), (2, other + " more"), (2, "alone in two"), (3, ""), (3, " "), (3, "alone in two"), (4, PROSE), (5, "single")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    kept = sorted((r.doc_id, r.text) for r in ngram_join.keep_first(docs).collect())
+    assert kept == sorted([(1, PROSE), (1, other), (2, "alone in two"), (3, ""), (5, "single")])
+    many = docs.filter("doc_id = 1").withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("again")
+    assert sorted(r.text for r in ngram_join.keep_first(many).collect()) == sorted([PROSE, other])
 
 
 def test_parity_bounds_the_difference():
