@@ -1,10 +1,12 @@
 """Byte-level BPE encoding and decoding.
 
-A text is cut into pre-tokens; each is merged on its own. A segment tree over
-the pairs of neighbouring symbols keeps in its root the lowest merge rank and,
-among equals, the leftmost place; a merge touches three leaves, so that a
-pre-token of n bytes takes O(n log n) however long it is. Workers remember the
-ids of short pre-tokens, in two generations bounded in bytes.
+A text is cut into pre-tokens; each is merged on its own. A short one keeps the
+merge ranks of its pairs in a list, whose least is looked for before every merge.
+For a longer one a segment tree over the pairs of neighbouring symbols keeps in
+its root the lowest merge rank and, among equals, the leftmost place; a merge
+touches three leaves, so that a pre-token of n bytes takes O(n log n) however
+long it is. Workers remember the ids of short pre-tokens, in two generations
+bounded in bytes.
 
 The vocabulary is a file of the tokenizers library, read as data: nothing of
 the library encodes or decodes here.
@@ -38,6 +40,8 @@ PATTERN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 #: Bytes of a generation of pre-tokens, and the longest that is remembered.
 GENERATION, LONGEST = 64_000_000, 48
+#: Bytes of the longest pre-token whose ranks are a list.
+LISTED = 64
 _NONE = 1 << 62
 
 
@@ -73,6 +77,23 @@ class Vocabulary:
 
     def merge(self, raw: bytes) -> list[int]:
         """Ids of one pre-token."""
+        return self._listed(raw) if len(raw) <= LISTED else self._tree(raw)
+
+    def _listed(self, raw: bytes) -> list[int]:
+        symbols = [self.byte_ids[b] for b in raw]
+        rank_of, made = self.ranks.get, self.made
+        ranks = [rank_of(a << 32 | b, _NONE) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while ranks and (least := min(ranks)) != _NONE:
+            place = ranks.index(least)  # the leftmost
+            symbols[place] = new = made[least]
+            del symbols[place + 1], ranks[place]
+            if place < len(ranks):
+                ranks[place] = rank_of(new << 32 | symbols[place + 1], _NONE)
+            if place:
+                ranks[place - 1] = rank_of(symbols[place - 1] << 32 | new, _NONE)
+        return symbols
+
+    def _tree(self, raw: bytes) -> list[int]:
         symbols = [self.byte_ids[b] for b in raw]
         n = len(symbols)
         if n < 2:
@@ -126,13 +147,16 @@ class Vocabulary:
     def _plain(self, text: str) -> list[bytes]:
         cut, known = PATTERN.findall(text), self.known
         known.age()
-        new = known.gather(set(cut))
-        for token in new:
-            known.put(token, array("I", self.merge(token.encode("utf-8"))).tobytes())
-        found = list(map(known.young.__getitem__, cut))
+        young = known.young
+        found = list(map(young.get, cut))
+        if None not in found:
+            return found
+        new = known.gather({token for token, ids in zip(cut, found, strict=True) if ids is None})
+        known.put_all(new, [array("I", self.merge(token.encode("utf-8"))).tobytes() for token in new])
+        found = [young[token] if ids is None else ids for token, ids in zip(cut, found, strict=True)]
         for token in new:
             if len(token) > LONGEST:
-                del known.young[token]
+                del young[token]
         return found
 
     def encode(self, text: str) -> bytes:

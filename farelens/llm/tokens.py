@@ -75,17 +75,21 @@ class Remembered:
         if self.size > self.generation:
             self.old, self.young, self.size = self.young, {}, 0
 
-    def gather(self, keys: Iterable[str]) -> list[str]:
+    def put_all(self, keys: list[str], ids: list[bytes]) -> None:
+        """``put`` of distinct keys."""
+        self.young.update(zip(keys, ids, strict=True))
+        self.size += 190 * len(keys) + sum(map(len, keys)) + sum(map(len, ids))
+
+    def gather(self, keys: set[str]) -> list[str]:
         """Bring what is known of ``keys`` to the younger generation; those
         that are not known."""
-        new, young, old = [], self.young, self.old
-        for key in keys:
-            if key not in young:
-                if key in old:
-                    self.put(key, old[key])
-                else:
-                    new.append(key)
-        return new
+        young, old = self.young, self.old
+        missing = [k for k in keys if k not in young]
+        back = [k for k in missing if k in old]
+        if not back:
+            return missing
+        self.put_all(back, [old[k] for k in back])
+        return [k for k in missing if k not in old]
 
     def clear(self) -> None:
         self.young, self.old, self.size = {}, {}, 0

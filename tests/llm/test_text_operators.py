@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 from collections import Counter
 
 import numpy as np
@@ -247,6 +248,34 @@ def test_bpe_as_the_library(texts):
         assert own.decode(ids) == library.decode(want.ids, skip_special_tokens=False)
 
 
+def lines_run(function, *args):
+    """Lines of Python that a call executes: its work, whatever the machine."""
+    n, before = 0, sys.gettrace()
+
+    def trace(frame, event, arg):
+        nonlocal n
+        n += event == "line"
+        return trace
+
+    sys.settrace(trace)
+    try:
+        function(*args)
+    finally:
+        sys.settrace(before)
+    return n
+
+
+def test_bpe_short_pre_tokens_are_cheap():
+    library, own = Tokenizer.from_file(BYTE), bpe.vocabulary(BYTE)
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abehinorst") for _ in range(n)) for n in [*range(1, 2 * bpe.LISTED)] * 3]
+    for word, want in zip(words, library.encode_batch(words, add_special_tokens=False), strict=True):
+        assert own.merge(word.encode()) == own._tree(word.encode()) == want.ids
+    # Words of a corpus, met for the first time.
+    for word in ("thereing", " tiononand", "Reoush", " ontiontion"):
+        assert lines_run(own.merge, word.encode()) < 12 * len(word)
+
+
 def test_remembered_runs_as_the_library(texts):
     library, own = Tokenizer.from_file(WORD), tokens.SpacelessEncoder(WORD)
     own.known.generation = own.pieces.generation = 40_000  # generations change all the time
