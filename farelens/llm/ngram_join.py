@@ -8,7 +8,9 @@
    hold them, rarest first; those above it all come after, by hash, whatever
    their number (it is known in part only). Two sets that link
    share one of the first n - ceil(0.9 n) + 1. A document enters the lists of
-   such members only where another document holds them too.
+   such members only where another document holds them too, and stays in a
+   list of one block only if the next smaller or larger set there is not too
+   far from its size to link. What is left is what sketches are copied to.
 3. Lists are read in blocks, sorted by size and position. Whole blocks are
    skipped where sizes lie too far apart or where, from these positions on,
    too little of the sets is left. The parity sketch (each member flips one
@@ -289,10 +291,14 @@ def _index(held: DataFrame, vertices: DataFrame) -> DataFrame:
               .filter(F.col("pos") < F.expr("n - (9 * n + 9) div 10 + 1")))
     named = placed.join(held.join(vertices, ["n", "s1", "s2"]).select("row", "v"), "row")
     # Equal sets have equal prefixes; one entry stands for all of them.
-    entries = stored(named.groupBy("member", "v").agg(F.min("pos").alias("pos")), "entries")
+    entries = stored(named.groupBy("member", "v").agg(F.min("pos").alias("pos"), F.min("n").alias("n")), "entries")
     lists = entries.groupBy("member").agg(F.count("*").alias("entries")).filter("entries > 1")
-    sketches = held.select(F.col("row").alias("v"), "n", "parity")
+    sketches = held.select(F.col("row").alias("v"), "parity")
     dealt = entries.join(lists, "member").withColumn("parts", F.expr(f"(entries + {LIST_BLOCK - 1}) div {LIST_BLOCK}"))
+    # The entries of a longer list are a window each: no task holds them all.
+    sizes_near = Window.partitionBy("member", F.when(F.col("parts") > 1, F.col("v"))).orderBy("n")
+    dealt = dealt.withColumn("smaller", F.lag("n").over(sizes_near)).withColumn("larger", F.lead("n").over(sizes_near))
+    dealt = dealt.filter("parts > 1 OR 10 * smaller >= 9 * n OR 9 * larger <= 10 * n")
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
     return dealt.join(sketches, "v").select(
