@@ -23,7 +23,7 @@ import os
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import repeat
 
 import regex
 from tokenizers import Tokenizer, pre_tokenizers
@@ -36,6 +36,9 @@ os.environ["TOKENIZERS_PARALLELISM"] = "false"
 GENERATION, LONGEST = 64_000_000, 64
 #: Pieces asked for in one text.
 _JOINED = 500
+#: Stands between runs where ids stand one after another: the last byte of an
+#: id is less than this.
+_BETWEEN = b"\xff" * 4
 #: Python splits here too, but the vocabularies' pattern does not.
 _UNLIKE = "\x1c\x1d\x1e\x1f"
 #: Runs whose characters are lower-cased one by one and need no normalisation.
@@ -121,11 +124,9 @@ class SpacelessEncoder:
             ends = [k + 1 for k, i in enumerate(ids) if self.ends[i]]
             if len(ends) == len(group):
                 made = array("I", ids).tobytes()
-                for piece, a, b in zip(group, [0, *ends], ends, strict=False):
-                    self.pieces.put(piece, made[4 * a:4 * b])
+                self.pieces.put_all(group, [made[4 * a:4 * b] for a, b in zip([0, *ends], ends, strict=False)])
             else:
-                for piece, own in zip(group, self._ids(group), strict=True):
-                    self.pieces.put(piece, packed(own))
+                self.pieces.put_all(group, list(map(packed, self._ids(group))))
 
     def _learn(self, runs: list[str]) -> None:
         """Remember the ids of runs not met before."""
@@ -142,26 +143,27 @@ class SpacelessEncoder:
             pieces = _PIECES.findall("\n".join(alike).lower())
             self.pieces.age()
             self._parts(self.pieces.gather({p for p in pieces if p != "\n"}))
-            ids, at, k = self.pieces.young, 0, 0
-            for run in alike:
-                try:
-                    k = pieces.index("\n", at)
-                except ValueError:
-                    k = len(pieces)
-                self.known.put(run, ids[pieces[at]] if k == at + 1 else b"".join([ids[p] for p in pieces[at:k]]))
-                at = k + 1
-        for run, own in zip(other, self._ids(other), strict=True):
-            self.known.put(run, packed(own))
+            self.known.put_all(alike, b"".join(map(self.pieces.young.get, pieces, repeat(_BETWEEN))).split(_BETWEEN))
+        self.known.put_all(other, list(map(packed, self._ids(other))))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids, packed."""
         forget_others(self.known, self.pieces)
         self.known.age()
         runs = [None if any(c in t for c in _UNLIKE) else t.split() for t in texts]
-        new = self.known.gather(set(chain.from_iterable(r for r in runs if r)))
-        self._learn(new)
         ids = self.known.young
-        found = [packed(next(self._ids([t]))) if r is None else b"".join(map(ids.__getitem__, r)) for t, r in zip(texts, runs, strict=True)]
+        parts = [list(map(ids.get, r or ())) for r in runs]
+        missing: set[str] = set()
+        for r, part in zip(runs, parts, strict=True):
+            if None in part:
+                missing.update([run for run, own in zip(r, part, strict=True) if own is None])
+        new = self.known.gather(missing)
+        self._learn(new)
+        found = []
+        for t, r, part in zip(texts, runs, parts, strict=True):
+            if None in part:
+                part = [ids[run] if own is None else own for run, own in zip(r, part, strict=True)]
+            found.append(packed(next(self._ids([t]))) if r is None else b"".join(part))
         for run in new:
             if len(run) > LONGEST:
                 del ids[run]

@@ -284,6 +284,18 @@ def test_remembered_runs_as_the_library(texts):
         assert np.frombuffer(got, "<u4").tolist() == want.ids
 
 
+def test_new_runs_are_cheap():
+    library, own = Tokenizer.from_file(WORD), tokens.SpacelessEncoder(WORD)
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abehinorst") for _ in range(9)) + rng.choice(["", "", ",", "'s"])
+    cases = [" ".join(word() for _ in range(300)) for _ in range(10)]
+    runs = {r for t in cases for r in t.split()}
+    got = []
+    assert lines_run(lambda: got.extend(own.encode(cases))) < 21 * len(runs)
+    for ids, want in zip(got, library.encode_batch(cases, add_special_tokens=False), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == want.ids
+
+
 def test_bpe(spark, texts, clashing, no_docs):
     for r in result(spark, "op6_bpe"):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
