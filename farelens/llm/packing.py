@@ -29,7 +29,9 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +40,8 @@ from farelens.llm.tokens import packed, spaceless
 
 CAPACITY = 4096
 END = 1
-#: Texts encoded at once, and bytes of ids in a batch that goes back.
-_TEXTS, _BYTES = 128, 8_000_000
+#: Bytes of texts encoded at once (or one text), and of ids in a batch that goes back.
+_TEXTS, _BYTES = 8_000_000, 8_000_000
 
 
 class Slot(NamedTuple):
@@ -97,6 +99,17 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Slot]:
 MADE = ("piece", "start", "length", "ids", "ids_crc32", "sequence_id", "offset")
 
 
+def slices(texts: pa.Array, size: int = _TEXTS) -> Iterator[tuple[int, pa.Array]]:
+    """Slices of ``size`` bytes at most, or of one text, and where they begin."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield at, texts.slice(at, to - at)
+        at = to
+
+
 def pieces(docs: DataFrame, path: str, text: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """Per piece: the other columns of ``docs``, ``piece``, ``start``,
     ``length`` and ``ids`` (little-endian unsigned 32-bit). A column of ``docs``
@@ -111,17 +124,16 @@ def pieces(docs: DataFrame, path: str, text: str = "text", capacity: int = CAPAC
         for b in batches:
             rows: list[tuple[int, int, int, int, bytes]] = []
             size = 0
-            texts = b.column(text)
-            for i in range(0, b.num_rows, _TEXTS):
-                for k, ids in enumerate(encoder.encode([t or "" for t in texts.slice(i, _TEXTS).to_pylist()]), i):
+            for i, some in slices(b.column(text)):
+                for k, ids in enumerate(encoder.encode(some), i):
                     ids += stop
                     for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                         cut = ids[at:at + 4 * capacity]
                         rows.append((k, n, at // 4, len(cut) // 4, cut))
                     size += len(ids)
-                if size > _BYTES:
-                    yield batch(b, rows)
-                    rows, size = [], 0
+                    if size > _BYTES:
+                        yield batch(b, rows)
+                        rows, size = [], 0
             if rows:
                 yield batch(b, rows)
 

@@ -9,6 +9,7 @@ import zlib
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import SF0001
 from llm_fixtures import PROSE, SCHEMA, clashing, edge_docs, no_docs, result, texts  # noqa: F401
@@ -137,6 +138,16 @@ def test_packing_edges(spark, edge_docs, no_docs):
     assert len({(r.sequence_id, r.offset) for r in placed}) == 3000 and len({r.sequence_id for r in placed}) == 2
 
 
+def test_packing_slices_are_whole():
+    texts = pa.array(["ab", None, "", "c" * 30, "\u00e9" * 4, "d", "e" * 9, None])
+    for t in (texts, texts.slice(2), texts.cast(pa.large_string()), texts[:0]):
+        for size in (0, 1, 9, 10, 1000):
+            got = list(packing.slices(t, size))
+            assert [x for _, s in got for x in s.to_pylist()] == t.to_pylist()
+            assert [at for at, _ in got] == [sum(len(s) for _, s in got[:k]) for k in range(len(got))]
+            assert all(len(s) == 1 or sum(len((x or "").encode()) for x in s.to_pylist()) <= size for _, s in got)
+
+
 def brute_components(texts):
     sets = {}
     for k, t in texts.items():

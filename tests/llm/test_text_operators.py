@@ -5,10 +5,12 @@ import math
 import random
 import re
 import sys
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import SF0001
 from llm_fixtures import clashing, edge_docs, no_docs, result, texts  # noqa: F401
@@ -296,6 +298,36 @@ def test_new_runs_are_cheap():
         assert np.frombuffer(ids, "<u4").tolist() == want.ids
 
 
+def test_known_runs_make_no_objects():
+    library, own = Tokenizer.from_file(WORD), tokens.SpacelessEncoder(WORD)
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abehinorst") for _ in range(9)) + rng.choice(["", ",", "'s"]) for _ in range(300)]
+    cases = [" ".join(rng.choices(words, k=2000)) for _ in range(50)]
+    want = [e.ids for e in library.encode_batch(cases, add_special_tokens=False)]
+    own.encode(cases)
+    tracemalloc.start()
+    got = own.encode(cases)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
+    assert peak - sum(map(len, got)) < 4 * 100_000  # runs
+
+
+def test_runs_of_many_kinds_at_once():
+    library, own = Tokenizer.from_file(WORD), tokens.SpacelessEncoder(WORD)
+    runs = ["don't", "!'s", "'st", "It's,", "\u00c9t\u00e9", "e\u0301", "\u0130I", "\u043f\u0440\u0438\u0432\u0435\u0442", "\u65e5\u672c\u8a9e", "a\u2019s", "x<|endoftext|>y", "12.5%", "\x00", "a\x1cb", "y" * 200, "\u01c5"]
+    rng = random.Random(7)
+    cases = [rng.choice(["", " ", "\n"]) + rng.choice([" ", "\t", "\u3000", "\x85", "\r\n"]).join(rng.choices(runs, k=rng.randint(0, 30))) for _ in range(400)]
+    want = [e.ids for e in library.encode_batch(cases, add_special_tokens=False)]
+    for generation in (0, 500, tokens.GENERATION):  # bytes
+        own.known.generation = own.pieces.generation = generation
+        got = [ids for i in range(0, 400, 50) for ids in own.encode(pa.array(cases).slice(i, 50))]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
+        assert own.known.keys.nbytes + own.known.ids.nbytes <= generation
+    assert max(map(len, own.known.keys.to_pylist())) <= tokens.LONGEST
+    assert own.encode(pa.array([None, "", "a", None])) == [b"", b"", own.encode(["a"])[0], b""]
+
+
 def test_bpe(spark, texts, clashing, no_docs):
     for r in result(spark, "op6_bpe"):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
